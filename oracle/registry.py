@@ -35,6 +35,10 @@ class Entry:
 
 ENTRIES: dict[str, Entry] = {}
 
+# The transfers end on the morning of this day.
+LAST_DAY = "2024-01-29 12:00:00"
+LAST_NOW = f"timestamp '{LAST_DAY}'"
+
 
 def register(name: str, run: Query, sql: str | None = None, doubles: tuple[str, ...] = (), places: int = 6) -> None:
     """Add a query. `doubles` names sums and averages of doubles: their last
@@ -244,11 +248,13 @@ register(
      {views._hash('l_orderkey')} tx_hash, l_linenumber log_index, 1698796800000 + l_orderkey * 1000 as timestamp from transfer_json""",
 )
 _MSG = "topic, partition, offset, key, value, timestamp, processing_time"
-register("message_envelope", _only(_MSG)(lambda s, d: spark_view(s, d, "messages")), f"select {_MSG} from messages")
+register("message_envelope", _only(_MSG)(lambda s, d: spark_view(s, d, "messages")), f"select {_MSG.replace('offset', '"offset"')} from messages")
 register(
     "decode_transfers",
     lambda s, d: logs.decode_transfers(raw_logs(s, d, "raw_transfer_logs")),
-    """select concat(tx_hash, '-', cast(log_index as varchar)) transfer_id, 'base' chain, token_address, from_address, to_address, amount_raw,
+    """select concat(tx_hash, '-', cast(log_index as varchar)) transfer_id, 'base' chain, token_address,
+     concat('0x', lpad(lower(hex(cast(substring(from_address, 3, 40) as bigint))), 40, '0')) from_address,
+     concat('0x', lpad(lower(hex(cast(substring(to_address, 3, 40) as bigint))), 40, '0')) to_address, amount_raw,
      block_number, tx_hash, log_index, timestamp from raw_transfers""",
 )
 _W = views._address
@@ -428,6 +434,12 @@ register(
 _SUMMARY_SUMS = ("avg_health_factor", "volume_7d", "supply_volume_7d", "borrow_volume_7d", "volume_30d")
 register("mart_protocol_summary", summary, "select * from protocol_summary", _SUMMARY_SUMS)
 register("mart_ecosystem_kpis", kpis, "select * from kpis", ("avg_health_factor", "volume_24h"))
+register(
+    "mart_ecosystem_kpis_last_day",
+    lambda s, d: marts.ecosystem_kpis(core_positions(s, d), transfers(s, d, "2024-01-29"), LAST_DAY),
+    models.CTES["kpis"].replace(NOW, LAST_NOW).replace(TODAY, "date '2024-01-29'"),
+    ("avg_health_factor", "volume_24h"),
+)
 register(
     "token_breakdown_daily",
     lambda s, d: marts.token_breakdown_daily(transfers(s, d, "2023-12-31"), AS_OF),
@@ -504,13 +516,19 @@ register(
     f"""select cast(event_date as varchar) as date, printf('%.2f', sum(inflow_usd)) inflow_usd, printf('%.2f', sum(outflow_usd)) outflow_usd, printf('%.2f', sum(net_usd)) net_usd
      from netflow where address = '{_USER}' and token_address = '{_TOKEN}' and event_date >= {TODAY} - 60 group by event_date""",
 )
+
+
+def _plain(column: str, places: int) -> str:
+    return f"regexp_replace(regexp_replace(cast(cast({column} as decimal(38,{places})) as varchar), '0+$', ''), '\\.$', '')"
+
+
 _MOVE_ORDER = "order by event_timestamp desc, tx_hash, movement_id, amount_usd desc, from_address, to_address"
 register(
     "whale_movements",
     lambda s, d: serving.whale_movements_list(movements(s, d), AS_OF, 168, 20_000, "out"),
     f"""select event_timestamp as timestamp, from_address, to_address, token_symbol, amount, amount_usd, whale_direction direction, tx_hash from (
      select * from movements where event_timestamp >= {NOW} - interval 168 hours and amount_usd >= 20000 and whale_direction = 'whale_out' {_MOVE_ORDER} limit 1000)"""
-    .replace("amount, amount_usd", "cast(amount as varchar) amount, cast(amount_usd as varchar) amount_usd", 1),
+    .replace("amount, amount_usd", f"{_plain('amount', 12)} amount, {_plain('amount_usd', 2)} amount_usd", 1),
 )
 register(
     "whale_movements_totals",
@@ -542,16 +560,16 @@ register(
 )
 register(
     "hourly_volume",
-    lambda s, d: serving.hourly_volume(transfers(s, d, "2024-01-29 12:00:00"), AS_OF),
+    lambda s, d: serving.hourly_volume(transfers(s, d, "2024-01-28 12:00:00"), LAST_DAY),
     f"""select event_hour as hour, sum(amount_usd) volume_usd, count(*) transfer_count, count(distinct from_address) + count(distinct to_address) unique_addresses
-     from stg_transfers where event_timestamp >= {NOW} - interval 24 hours group by event_hour""",
+     from stg_transfers where event_timestamp >= {LAST_NOW} - interval 24 hours group by event_hour""",
     ("volume_usd",),
 )
 register(
     "token_distribution",
-    lambda s, d: serving.token_distribution(transfers(s, d, "2024-01-29 12:00:00"), AS_OF),
+    lambda s, d: serving.token_distribution(transfers(s, d, "2024-01-28 12:00:00"), LAST_DAY),
     f"""select token_symbol, sum(amount_usd) total_volume, count(*) transfer_count, count(distinct from_address) unique_senders
-     from stg_transfers where event_timestamp >= {NOW} - interval 24 hours group by token_symbol order by total_volume desc, token_symbol limit 10""",
+     from stg_transfers where event_timestamp >= {LAST_NOW} - interval 24 hours group by token_symbol order by total_volume desc, token_symbol limit 10""",
     ("total_volume",),
 )
 register(
@@ -575,9 +593,9 @@ register(
 )
 register(
     "large_whale_moves",
-    lambda s, d: serving.large_whale_moves(movements(s, d), AS_OF, 24, 50_000),
+    lambda s, d: serving.large_whale_moves(movements(s, d), LAST_DAY, 24, 50_000),
     f"""select event_timestamp, from_address, to_address, token_symbol, amount, amount_usd, whale_direction, tx_hash from (
-     select * from movements where event_timestamp >= {NOW} - interval 24 hours and amount_usd >= 50000 {_MOVE_ORDER} limit 100)""",
+     select * from movements where event_timestamp >= {LAST_NOW} - interval 24 hours and amount_usd >= 50000 {_MOVE_ORDER} limit 100)""",
 )
 register(
     "latest_kpis",
@@ -657,13 +675,13 @@ register(
         transfers(s, d).groupBy(F.col("from_address").alias("user_address")).agg(F.max(F.unix_millis("event_timestamp")).alias("last_active_ms")),
         AS_OF,
     ),
-    f"""with l as (select * from latest_positions where protocol = 'aave_v3'),
+    f"""select * from (with l as (select * from latest_positions where protocol = 'aave_v3'),
      a as (select from_address user_address, max(epoch_us(event_timestamp) // 1000) last_active_ms from stg_transfers group by from_address),
      j as (select coalesce(l.user_address, a.user_address) user_address, health_factor, last_active_ms from l full outer join a on l.user_address = a.user_address),
      t as (select user_address, case when health_factor < 15e-1 then 'high_risk' when last_active_ms > epoch_us({NOW}) // 1000 - 86400000 then 'active'
       when last_active_ms < epoch_us({NOW}) // 1000 - 86400000 then 'inactive' end tier,
       case when health_factor < 12e-1 then 'critical' when health_factor < 15e-1 then 'warning' end severity, health_factor, last_active_ms from j)
-     select * from t where tier is not null""",
+     select * from t where tier is not null)""",
 )
 
 # --- streaming twins --------------------------------------------------------
@@ -729,7 +747,7 @@ register(
 register(
     "message_latency",
     lambda s, d: dq_windows.with_latency(spark_view(s, d, "messages")).select("topic", "offset", "latency_ms"),
-    "select topic, offset, processing_time - timestamp latency_ms from messages",
+    'select topic, "offset", processing_time - timestamp latency_ms from messages',
 )
 register(
     "message_faults",
@@ -739,7 +757,7 @@ register(
         1_800_000,
     ),
     """select topic, make_timestamp(w * 1000) window_from, cast(sum(broken) as bigint) schema_error_count, cast(sum(n - 1) as bigint) duplicate_count from (
-     select topic, w, partition, offset // 3 o, count(*) n, count(*) filter (offset % 9 = 0) broken
+     select topic, w, partition, "offset" // 3 as o, count(*) n, count(*) filter ("offset" % 9 = 0) broken
      from (select *, timestamp - timestamp % 1800000 - k * 1800000 w from messages, range(0, 2) r(k)) group by topic, w, partition, o) group by topic, w""",
 )
 register(

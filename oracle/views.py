@@ -99,7 +99,7 @@ VIEWS = {
     ),
     "messages": (
         ["events"],
-        """select concat('topic.', event_type) as topic, cast(user_id % 4 as int) as partition, event_id as offset, cast(user_id as string) as key,
+        """select concat('topic.', event_type) as topic, cast(user_id % 4 as int) as partition, event_id as `offset`, cast(user_id as string) as key,
  case when event_id % 50 = 0 then null when event_id % 75 = 1 then '  ' else props end as value,
  MS(ts) as timestamp, MS(ts) + cast(round(value * 5e2) as bigint) as processing_time from events""",
     ),
@@ -223,6 +223,4 @@ def rt_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duck_view(name: str) -> str:
-    sql = _expand_ms(VIEWS[name][1], "(epoch_us({}) // 1000)")
-    # hex() of a negative or string argument differs; all arguments here are non-negative bigints.
-    return sql
+    return _expand_ms(VIEWS[name][1], "(epoch_us({}) // 1000)").replace("`", '"')

@@ -56,6 +56,13 @@ def money_text(value: Column) -> Column:
     return F.format_string("%.2f", value.cast("double"))
 
 
+def number_text(value: Column) -> Column:
+    """A double as plain digits without an exponent or trailing zeros."""
+    digits = value.try_cast("decimal(38,18)").cast("string")
+    plain = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), "\\.$", "")
+    return F.when(value == 0, "0").otherwise(F.coalesce(plain, value.cast("string")))
+
+
 def scaled(raw: Column, digits: int) -> Column:
     """Integer contract value to a double with `digits` decimals taken off."""
     return raw.cast("double") / F.lit(float(10**digits))

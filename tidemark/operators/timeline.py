@@ -108,7 +108,8 @@ def keep_spaced(
 
     step = F.struct(
         F.col("_bucket").alias("bucket"),
-        F.map_from_arrays("possible", F.transform("possible", exit_time)).alias("table"),
+        F.col("possible").alias("entries"),
+        F.transform("possible", exit_time).alias("exits"),
     )
     # A bucket without entries depends on nothing before it and starts a run.
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
@@ -117,11 +118,16 @@ def keep_spaced(
     ).withColumn("_run", F.sum("_start").over(by_bucket))
 
     def follow(acc: Column, s: Column) -> Column:
-        known = F.coalesce(F.try_element_at(s["table"], acc["at"]), F.try_element_at(s["table"], never))
-        entry = F.when(F.map_contains_key(s["table"], acc["at"]), acc["at"]).otherwise(never)
+        # A kept time that is not among the entries is too old to matter.
+        place = F.greatest(F.array_position(s["entries"], acc["at"]), F.lit(1).cast("bigint")).cast("int")
         return F.struct(
-            known.alias("at"),
-            F.concat(acc["out"], F.array(F.struct(s["bucket"].alias("_bucket"), entry.alias("_entry")))).alias("out"),
+            F.element_at(s["exits"], place).alias("at"),
+            F.concat(
+                acc["out"],
+                F.array(
+                    F.struct(s["bucket"].alias("_bucket"), F.element_at(s["entries"], place).alias("_entry"))
+                ),
+            ).alias("out"),
         )
 
     nothing = F.array().cast("array<struct<_bucket:bigint,_entry:bigint>>")

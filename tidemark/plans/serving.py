@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.risk import risk_rank, size_tier, utilization
-from tidemark.functions.values import day_of, moment, money_text
+from tidemark.functions.values import day_of, moment, money_text, number_text
 from tidemark.operators.positions import ACCOUNT
 from tidemark.operators.versions import latest_version
 from tidemark.plans.marts import risk_distribution
@@ -169,8 +169,8 @@ def whale_movements_list(
         "from_address",
         "to_address",
         "token_symbol",
-        F.col("amount").cast("string").alias("amount"),
-        F.col("amount_usd").cast("string").alias("amount_usd"),
+        number_text(F.col("amount")).alias("amount"),
+        number_text(F.col("amount_usd")).alias("amount_usd"),
         F.col("whale_direction").alias("direction"),
         "tx_hash",
     )
