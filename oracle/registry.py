@@ -797,6 +797,7 @@ def _metric(name: str, sql: str, model: str, doubles=(), **options) -> Query:
         lambda s, d: metrics.metric(_models(s, d, model), name, as_of=AS_OF, **options),
         sql,
         doubles,
+        2 if name.endswith("volume_usd") else 6,  # dollar totals are reported to the cent
     )
 
 
