@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import DEFAULTS, Settings
@@ -12,6 +12,8 @@ from tidemark.functions.addresses import ZERO_ADDRESS
 from tidemark.functions.values import dash_key, hour_of_millis, moment, sum_if
 
 _NETFLOW_KEY = ["event_date", "address", "token_address"]
+_OUT_ROW = "struct<token_symbol:string,out_n:bigint,out_amount:double,out_usd:double>"
+_OUT_ROWS = f"array<{_OUT_ROW}>"
 
 
 def transfer_legs(transfers: DataFrame) -> DataFrame:
@@ -38,8 +40,9 @@ def address_netflow_daily(transfers: DataFrame, as_of: str | datetime, settings:
 
     Both sides come from one scan: legs are summed per (key, symbol) with
     map-side combine, so a busy address shrinks to a few rows per task before
-    the shuffle. The outer join then only has to pair the symbols of one
-    token within a key, which are a handful of already summed rows.
+    the shuffle. A key normally has one symbol, and its summed row already is
+    the joined row. Where a token was seen under several symbols, the outer
+    join pairs the summed symbols of that key, a handful of rows in a window.
     """
     incoming, outgoing = F.col("side") == "in", F.col("side") == "out"
 
@@ -54,34 +57,37 @@ def address_netflow_daily(transfers: DataFrame, as_of: str | datetime, settings:
         total("amount", outgoing).alias("out_amount"),
         total("amount_usd", outgoing).alias("out_usd"),
     )
-    by_key = summed.groupBy(*_NETFLOW_KEY).agg(
-        F.collect_list(F.struct("token_symbol", "in_n", "in_amount", "in_usd")).alias("ins"),
-        F.collect_list(F.struct("token_symbol", "out_n", "out_amount", "out_usd")).alias("outs"),
-    )
-    ins = F.filter("ins", lambda s: s["in_n"] > 0)
-    outs = F.filter("outs", lambda s: s["out_n"] > 0)
-    # An empty side contributes one NULL row, as in a full outer join.
-    rows = (
-        by_key.select(*_NETFLOW_KEY, outs.alias("outs"), F.explode_outer(ins).alias("i"))
-        .select(*_NETFLOW_KEY, "i", F.explode_outer("outs").alias("o"))
+    of_key = Window.partitionBy(*_NETFLOW_KEY)
+    own_out = F.struct("token_symbol", "out_n", "out_amount", "out_usd")
+    sent = F.col("out_n") > 0
+    keyed = summed.withColumns(
+        {"_symbols": F.count(F.lit(1)).over(of_key), "_receives": F.max("in_n").over(of_key) > 0}
+    ).withColumn("_outs", F.collect_list(F.when((F.col("_symbols") > 1) & sent, own_out)).over(of_key))
+    # The outgoing rows each incoming row meets; one of them may be "none".
+    partners = (
+        F.when(F.col("_symbols") == 1, F.array(own_out))
+        .when(F.col("in_n") == 0, F.when(F.col("_receives"), F.array().cast(_OUT_ROWS)).otherwise(F.array(own_out)))
+        .when(F.size("_outs") == 0, F.array(F.lit(None).cast(_OUT_ROW)))
+        .otherwise(F.col("_outs"))
     )
+    rows = keyed.withColumn("o", F.explode(partners))
 
-    def field(path: str) -> Column:
-        return F.coalesce(F.col(path), F.lit(0))
+    def field(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0))
 
     return rows.select(
         dash_key("event_date", "address", "token_address").alias("netflow_key"),
         F.lit(settings.chain).alias("chain"),
         *_NETFLOW_KEY,
-        F.coalesce("i.token_symbol", "o.token_symbol").alias("token_symbol"),
-        field("i.in_n").alias("inflow_count"),
-        field("i.in_amount").alias("inflow_amount"),
-        field("i.in_usd").alias("inflow_usd"),
+        F.when(F.col("in_n") > 0, F.col("token_symbol")).otherwise(F.col("o.token_symbol")).alias("token_symbol"),
+        field("in_n").alias("inflow_count"),
+        field("in_amount").alias("inflow_amount"),
+        field("in_usd").alias("inflow_usd"),
         field("o.out_n").alias("outflow_count"),
         field("o.out_amount").alias("outflow_amount"),
         field("o.out_usd").alias("outflow_usd"),
-        (field("i.in_amount") - field("o.out_amount")).alias("net_amount"),
-        (field("i.in_usd") - field("o.out_usd")).alias("net_usd"),
+        (field("in_amount") - field("o.out_amount")).alias("net_amount"),
+        (field("in_usd") - field("o.out_usd")).alias("net_usd"),
         moment(as_of).alias("dbt_updated_at"),
     )
 

@@ -89,16 +89,18 @@ def keep_spaced(
     )
     own = df.groupBy(*keys, bucket.alias("_bucket")).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
-    trailing = F.col(millis) > (bucket + 1) * F.lit(bucket_ms) - F.lit(max_spacing_ms)
-    entries = (
-        df.where(trailing)
-        .groupBy(*keys, (bucket + 1).alias("_bucket"))
-        .agg(F.collect_set(millis).alias("entries"))
-    )
+    # Rows late enough in their bucket to hold back rows of the next one.
+    bucket_end = (F.col("_bucket") + 1) * F.lit(bucket_ms)
+    trailing = F.filter(F.col("items.t"), lambda t: t > bucket_end - F.lit(max_spacing_ms))
+    entries = own.select(*keys, (F.col("_bucket") + 1).alias("_bucket"), F.array_distinct(trailing).alias("entries"))
+    entries = entries.where(F.size("entries") > 0)
     # 0 stands for "nothing kept recently", the value a fresh key starts from.
     never = F.lit(0).cast("long")
-    tables = own.join(entries, [*keys, "_bucket"], "left").withColumn(
-        "possible", F.concat(F.array(never), F.coalesce("entries", F.array().cast("array<bigint>")))
+    # Only buckets that hand rows over, or take them, have to be chained.
+    tables = (
+        own.join(entries, [*keys, "_bucket"], "left")
+        .where(F.col("entries").isNotNull() | (F.size(trailing) > 0))
+        .withColumn("possible", F.concat(F.array(never), F.coalesce("entries", F.array().cast("array<bigint>"))))
     )
 
     def exit_time(entry: Column) -> Column:
@@ -152,7 +154,7 @@ def keep_spaced(
         )
 
     row_type = df.select(F.array(F.struct(*columns)).alias("a")).schema["a"].dataType
-    start = F.struct(F.col("_entry").alias("last"), F.array().cast(row_type).alias("rows"))
-    return own.join(entered, [*keys, "_bucket"]).select(
+    start = F.struct(F.coalesce("_entry", never).alias("last"), F.array().cast(row_type).alias("rows"))
+    return own.join(entered, [*keys, "_bucket"], "left").select(
         F.inline(F.aggregate("items", start, keep, lambda acc: acc["rows"]))
     )

@@ -91,14 +91,10 @@ def uint_text(hex_digits: Column) -> Column:
     return F.when(trimmed == "", "0").otherwise(trimmed)
 
 
-def uint_value(hex_digits: Column) -> Column:
-    """Decimal text of an unsigned hex value; plain `conv` below 2^63, limbs above."""
-    digits = F.regexp_replace(hex_digits, "^0+", "")
-    return (
-        F.when(digits == "", "0")
-        .when(F.length(digits) < 16, F.conv(digits, 16, 10))
-        .otherwise(uint_text(digits))
-    )
+def uint_value(hex_word: Column) -> Column:
+    """Decimal text of a 32-byte word of 64 hex digits; plain `conv` below 2^60, limbs above."""
+    small = F.substring(hex_word, 1, 49) == "0" * 49
+    return F.when(small, F.conv(F.substring(hex_word, 50, 15), 16, 10)).otherwise(uint_text(hex_word))
 
 
 def _event_key() -> Column:
