@@ -89,17 +89,19 @@ def keep_spaced(
     )
     own = df.groupBy(*keys, bucket.alias("_bucket")).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
-    # Rows late enough in their bucket to hold back rows of the next one.
+    # Times late enough in their bucket to hold back rows of the next one.
     bucket_end = (F.col("_bucket") + 1) * F.lit(bucket_ms)
     trailing = F.filter(F.col("items.t"), lambda t: t > bucket_end - F.lit(max_spacing_ms))
-    entries = own.select(*keys, (F.col("_bucket") + 1).alias("_bucket"), F.array_distinct(trailing).alias("entries"))
-    entries = entries.where(F.size("entries") > 0)
+    own = own.withColumn("trailing", F.array_distinct(trailing))
+    entries = own.where(F.size("trailing") > 0).select(
+        *keys, (F.col("_bucket") + 1).alias("_bucket"), F.col("trailing").alias("entries")
+    )
     # 0 stands for "nothing kept recently", the value a fresh key starts from.
     never = F.lit(0).cast("long")
     # Only buckets that hand rows over, or take them, have to be chained.
     tables = (
         own.join(entries, [*keys, "_bucket"], "left")
-        .where(F.col("entries").isNotNull() | (F.size(trailing) > 0))
+        .where(F.col("entries").isNotNull() | (F.size("trailing") > 0))
         .withColumn("possible", F.concat(F.array(never), F.coalesce("entries", F.array().cast("array<bigint>"))))
     )
 

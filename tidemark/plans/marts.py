@@ -168,28 +168,42 @@ def risk_dashboard(address_positions: DataFrame, as_of: str | datetime) -> DataF
         F.sum("health_factor").alias("health"),
         F.count("health_factor").alias("health_n"),
     )
-    level, tier = F.col("risk_level"), F.col("position_size_tier")
-    sections = cells.groupingSets([[level], [tier], []], level, tier).agg(
-        F.grouping_id().alias("g"),
-        F.sum("n").alias("n"),
-        F.sum("tvl").alias("tvl"),
-        F.sum("debt").alias("debt"),
-        (F.sum("health") / F.sum("health_n")).alias("avg_health"),
+    total = cells.agg(
+        F.collect_list(F.struct("risk_level", "position_size_tier", "n")).alias("cells"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.sum("tvl").cast("decimal(38,2)").alias("tvl"),
+        F.sum("debt").cast("decimal(38,2)").alias("debt"),
+        (F.sum("health") / F.sum("health_n")).cast("decimal(18,6)").alias("health"),
     )
 
     def line(section: str, name: Column, value: Column) -> Column:
-        return F.struct(F.lit(section).alias("section"), name.alias("metric_name"), value.cast("string").alias("metric_value"))
-
-    lines = (
-        F.when(F.col("g") == 1, F.array(line("risk_distribution", level, F.col("n"))))
-        .when(F.col("g") == 2, F.array(line("size_distribution", tier, F.col("n"))))
-        .otherwise(
-            F.array(
-                line("summary", F.lit("total_users"), F.coalesce("n", F.lit(0))),
-                line("summary", F.lit("total_tvl_usd"), F.col("tvl").cast("decimal(38,2)")),
-                line("summary", F.lit("total_debt_usd"), F.col("debt").cast("decimal(38,2)")),
-                line("summary", F.lit("avg_health_factor"), F.col("avg_health").cast("decimal(18,6)")),
-            )
+        return F.struct(
+            F.lit(section).alias("section"), name.alias("metric_name"), value.cast("string").alias("metric_value")
         )
+
+    def counts(section: str, field: str) -> Column:
+        names = F.array_distinct(F.transform("cells", lambda c: c[field]))
+        return F.transform(
+            names,
+            lambda name: line(
+                section,
+                name,
+                F.aggregate(
+                    F.filter("cells", lambda c: c[field] == name),
+                    F.lit(0).cast("bigint"),
+                    lambda n, c: n + c["n"],
+                ),
+            ),
+        )
+
+    lines = F.concat(
+        F.array(
+            line("summary", F.lit("total_users"), F.col("n")),
+            line("summary", F.lit("total_tvl_usd"), F.col("tvl")),
+            line("summary", F.lit("total_debt_usd"), F.col("debt")),
+            line("summary", F.lit("avg_health_factor"), F.col("health")),
+        ),
+        counts("risk_distribution", "risk_level"),
+        counts("size_distribution", "position_size_tier"),
     )
-    return sections.select(F.inline(lines), moment(as_of).alias("snapshot_time"))
+    return total.select(F.inline(lines), moment(as_of).alias("snapshot_time"))
