@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import partial
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,10 @@ from tidemark.functions.risk import risk_level, risk_rank, size_tier, utilizatio
 from tidemark.operators import chain, checks, dq_windows, flows, lending, metrics, positions, risk, staging, timeline
 from tidemark.operators import versions, whales
 from tidemark.plans import marts, serving
+from tidemark.session import checkpoint_root, use_utc
 from tidemark.sources import logs, raw as raw_tables, records, scaling, seeds
+from tidemark.streaming import jobs, sinks
+from tidemark.streaming.jobs import JobOptions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Entry:
     run: Query
     sql: str | None
+    body: str | None = None
 
 
 ENTRIES: dict[str, Entry] = {}
@@ -51,7 +56,7 @@ def register(name: str, run: Query, sql: str | None = None, doubles: tuple[str,
     if name in ENTRIES:
         raise ValueError(f"duplicate query {name}")
     text = with_ctes(models.rounded(sql, doubles, places)) if sql else None
-    ENTRIES[name] = Entry(rounded_run, text)
+    ENTRIES[name] = Entry(rounded_run, text, sql)
 
 
 # --- inputs -----------------------------------------------------------------
@@ -783,6 +788,102 @@ register(
     "select c.k, c.timestamp, c.log_index, c.block_number, c.amount_raw from landed c join landed_walk a on a.k = c.k and a.rn = c.rn and a.kept",
 )
 
+# --- streams over the given tables ------------------------------------------
+
+
+def _drained(spark: SparkSession, start: Callable) -> str:
+    """Run a streaming job over everything there is and return its output folder."""
+    use_utc(spark)
+    options = JobOptions(run=f"queries-{uuid.uuid4().hex}", fallback=None, available_now=True)
+    if not spark.conf.get("spark.checkpoint.dir", ""):
+        options = replace(options, fallback=tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    out = f"{checkpoint_root(spark, options.fallback)}/{options.run}/out"
+    start(out, options).awaitTermination()
+    return out
+
+
+def _risk_stream(part: str) -> Query:
+    def run(s, d):
+        positions_stream = raw(s, d, "raw_positions", stream="orders")
+        out = _drained(s, lambda o, options: jobs.start_risk(positions_stream, f"{o}/metrics", f"{o}/alerts", options))
+        return sinks.read_batches(s, f"{out}/{part}")
+
+    return run
+
+
+register("stream_risk_metrics", _risk_stream("metrics"), ENTRIES["risk_metrics"].body)
+register("stream_risk_alerts", _risk_stream("alerts"), "select * from alerts")
+
+
+def _flow_stream(s, d):
+    transfers_stream = raw(s, d, "raw_transfers", stream="lineitem")
+    out = _drained(s, lambda o, options: jobs.start_token_flow(transfers_stream, o, options))
+    rows = sinks.read_upserts(s, out, ["chain", "token_address", "hour"], "updated_at")
+    return rows.drop("unique_senders_count", "unique_receivers_count", "updated_at")
+
+
+register(
+    "stream_token_flow",
+    _flow_stream,
+    "select * exclude (unique_senders_count, unique_receivers_count, updated_at) from (" + ENTRIES["token_flow_hourly"].body + ")",
+    ("avg_transfer_size",),
+)
+
+
+def _dq_windows(s, d, o, options):
+    messages = spark_view(s, d, "messages", stream="events")
+    return jobs.start_dq_windows(messages, o, options, window_ms=3_600_000, slide_ms=1_800_000)
+
+
+def _dq_stream(s, d):
+    return s.read.parquet(_drained(s, lambda o, options: _dq_windows(s, d, o, options)))
+
+
+register(
+    "stream_dq_windows",
+    _dq_stream,
+    # A window closes once the newest message lies past its end by the allowed disorder.
+    "select * from dq_hour where window_to <= (select make_timestamp(max(timestamp) * 1000) from messages) - interval 5 seconds",
+)
+
+
+def _flag_stream(s, d):
+    windows = _drained(s, lambda o, options: _dq_windows(s, d, o, options))
+    closed = s.readStream.schema(s.read.parquet(windows).schema).parquet(windows)
+    return sinks.read_batches(s, _drained(s, lambda o, options: jobs.start_dq_flags(closed, o, options)))
+
+
+register(
+    "stream_anomalies",
+    _flag_stream,
+    "select * from (" + ENTRIES["detect_anomalies"].body + ") where window_to <= (select make_timestamp(max(timestamp) * 1000) from messages) - interval 5 seconds",
+)
+
+
+def _landing_stream(part: str) -> Query:
+    def run(s, d):
+        messages = spark_view(s, d, "messages", stream="events")
+        out = _drained(
+            s, lambda o, options: jobs.start_landing(messages, "k bigint", f"{o}/rows", f"{o}/dead", "600 seconds", options)
+        )
+        return sinks.read_batches(s, f"{out}/{part}")
+
+    return run
+
+
+register(
+    "stream_landing",
+    _landing_stream("rows"),
+    """select cast(value ->> '$.k' as bigint) k, partition kafka_partition, "offset" kafka_offset from messages
+     where value is not null and trim(value) <> ''""",
+)
+
+register(
+    "stream_dead_letters",
+    _landing_stream("dead"),
+    """select topic, partition, "offset", key, value, timestamp from messages where value is null or trim(value) = ''""",
+)
+
 # --- metrics ----------------------------------------------------------------
 
 

@@ -169,14 +169,21 @@ def _expand_ms(sql: str, template: str) -> str:
     return out
 
 
-def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture view as a DataFrame; no temporary view is registered."""
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a file stream over the same folder."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def spark_view(spark: SparkSession, sf_dir: str, name: str, stream: str | None = None) -> DataFrame:
+    """A fixture view as a DataFrame; no temporary view is registered. With
+    `stream`, that table is read as a stream and the view becomes one."""
     use_utc(spark)
     sources, sql = VIEWS[name]
     text = _expand_ms(sql, "unix_millis(cast({} as timestamp))").replace("{", "{{").replace("}", "}}")
     frames = {}
     for source in sources:
-        frames[source] = table(spark, sf_dir, source)
+        frames[source] = (table_stream if source == stream else table)(spark, sf_dir, source)
         text = reduce(lambda t, word: t.replace(f"{word} {source}", f"{word} {{{source}}}"), ("from", "join"), text)
     return spark.sql(text, **frames)
 
@@ -190,9 +197,9 @@ _RAW_DDL = {
 }
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str, name: str, stream: str | None = None) -> DataFrame:
     """A fixture view in the canonical schema."""
-    return conform(spark_view(spark, sf_dir, name), _RAW_DDL[name])
+    return conform(spark_view(spark, sf_dir, name, stream), _RAW_DDL[name])
 
 
 def raw_logs(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

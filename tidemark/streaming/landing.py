@@ -20,22 +20,27 @@ _CORRUPT = "_corrupt_record"
 
 
 def typed(messages: DataFrame, ddl: str) -> DataFrame:
-    """Messages with `r`, the parsed record, and `_corrupt_record`, set where parsing failed.
+    """Messages with `r`, the parsed record, and `_corrupt_record`, set where parsing failed or there was no text.
 
     The broker position travels along as kafka_partition and kafka_offset.
     """
     schema = T.StructType.fromDDL(ddl).add(_CORRUPT, "string")
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    broken = F.when(F.col("value").isNull(), F.lit("")).otherwise(F.col(f"r.{_CORRUPT}"))
+    value = F.coalesce("value", F.lit(""))
+    broken = F.when(F.trim(value) == "", value).otherwise(F.col(f"r.{_CORRUPT}"))
     return messages.withColumn("r", parsed).withColumn(_CORRUPT, broken)
 
 
 def dedup(messages: DataFrame, within: str) -> DataFrame:
-    """Drop repeats of a message (same topic, key and value) within a time window."""
+    """Drop redeliveries of a message within a time window.
+
+    A message is known by its broker position, so only true repeats go, even
+    where a batch spans more than the window.
+    """
     return (
         messages.withColumn("event_time", F.timestamp_millis("timestamp"))
         .withWatermark("event_time", within)
-        .dropDuplicatesWithinWatermark(["topic", "key", "value"])
+        .dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
         .drop("event_time")
     )
 
