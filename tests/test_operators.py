@@ -1,7 +1,7 @@
 """Edge rules on hand-made rows, checked against plain Python where a rule is sequential."""
 
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
@@ -157,7 +157,7 @@ def naive_netflow(rows):
     """The outer join written out: group each side by symbol, pair all symbols of a key."""
     sides = {"in": {}, "out": {}}
     for _, token, symbol, sender, receiver, usd, ms in rows:
-        day = datetime.utcfromtimestamp(ms / 1000).date()
+        day = datetime.fromtimestamp(ms / 1000, timezone.utc).date()
         kind = "mint" if sender == ZERO_ADDRESS else "burn" if receiver == ZERO_ADDRESS else "transfer"
         if kind != "burn":
             sides["in"].setdefault((day, receiver, token), {}).setdefault(symbol.upper(), []).append(usd)
@@ -427,7 +427,7 @@ def test_chain_checks(spark):
 def test_poll_tiers(spark):
     latest = spark.createDataFrame([("a", 1.1), ("b", 1.4), ("c", 3.0), ("d", 3.0)], "user_address string, health_factor double")
     active = spark.createDataFrame([("a", T0), ("c", T0), ("e", T0 - 90_000_000)], "user_address string, last_active_ms bigint")
-    got = {r.user_address: (r.tier, r.severity) for r in chain.poll_tiers(latest, active, datetime.utcfromtimestamp(T0 / 1000)).collect()}
+    got = {r.user_address: (r.tier, r.severity) for r in chain.poll_tiers(latest, active, datetime.fromtimestamp(T0 / 1000, timezone.utc)).collect()}
     assert got == {"a": ("high_risk", "critical"), "b": ("high_risk", "warning"), "c": ("active", None), "e": ("inactive", None)}
 
 

@@ -87,22 +87,29 @@ def keep_spaced(
         F.col(spacing).cast("long").alias("gap"),
         F.struct(*columns).alias("row"),
     )
-    own = df.groupBy(*keys, bucket.alias("_bucket")).agg(F.sort_array(F.collect_list(item)).alias("items"))
-
-    # Times late enough in their bucket to hold back rows of the next one.
-    bucket_end = (F.col("_bucket") + 1) * F.lit(bucket_ms)
-    trailing = F.filter(F.col("items.t"), lambda t: t > bucket_end - F.lit(max_spacing_ms))
-    own = own.withColumn("trailing", F.array_distinct(trailing))
-    entries = own.where(F.size("trailing") > 0).select(
-        *keys, (F.col("_bucket") + 1).alias("_bucket"), F.col("trailing").alias("entries")
+    # A row late enough in its bucket to hold back rows of the next one also
+    # goes there, as a bare time, so that one shuffle brings both together.
+    bucket_end = (bucket + 1) * F.lit(bucket_ms)
+    reach = F.when(
+        F.col(millis) > bucket_end - F.lit(max_spacing_ms), F.array(bucket, bucket + 1)
+    ).otherwise(F.array(bucket))
+    at_home = F.col("_bucket") == bucket
+    grouped = (
+        df.select("*", F.explode(reach).alias("_bucket"))
+        .groupBy(*keys, "_bucket")
+        .agg(
+            F.sort_array(F.collect_list(F.when(at_home, item))).alias("items"),
+            F.collect_set(F.when(~at_home, F.col(millis))).alias("entries"),
+        )
+        .where(F.size("items") > 0)
     )
     # 0 stands for "nothing kept recently", the value a fresh key starts from.
     never = F.lit(0).cast("long")
-    # Only buckets that hand rows over, or take them, have to be chained.
-    tables = (
-        own.join(entries, [*keys, "_bucket"], "left")
-        .where(F.col("entries").isNotNull() | (F.size("trailing") > 0))
-        .withColumn("possible", F.concat(F.array(never), F.coalesce("entries", F.array().cast("array<bigint>"))))
+    # Only buckets that take times over, or hand some on, have to be chained.
+    newest = F.element_at("items", -1)["t"]
+    hands_on = newest > (F.col("_bucket") + 1) * F.lit(bucket_ms) - F.lit(max_spacing_ms)
+    tables = grouped.where((F.size("entries") > 0) | hands_on).withColumn(
+        "possible", F.concat(F.array(never), "entries")
     )
 
     def exit_time(entry: Column) -> Column:
@@ -118,7 +125,7 @@ def keep_spaced(
     # A bucket without entries depends on nothing before it and starts a run.
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
     chained = tables.select(
-        *keys, "_bucket", step.alias("step"), F.col("entries").isNull().cast("long").alias("_start")
+        *keys, "_bucket", step.alias("step"), (F.size("entries") == 0).cast("long").alias("_start")
     ).withColumn("_run", F.sum("_start").over(by_bucket))
 
     def follow(acc: Column, s: Column) -> Column:
@@ -157,6 +164,6 @@ def keep_spaced(
 
     row_type = df.select(F.array(F.struct(*columns)).alias("a")).schema["a"].dataType
     start = F.struct(F.coalesce("_entry", never).alias("last"), F.array().cast(row_type).alias("rows"))
-    return own.join(entered, [*keys, "_bucket"], "left").select(
+    return grouped.join(entered, [*keys, "_bucket"], "left").select(
         F.inline(F.aggregate("items", start, keep, lambda acc: acc["rows"]))
     )
