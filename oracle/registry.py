@@ -182,7 +182,7 @@ _T = ("transfer_id, chain, token_address, token_symbol, token_decimals, from_add
 _P = ("chain, protocol, user_address, block_number, health_factor, total_collateral_usd, total_debt_usd, "
       "available_borrow_usd, ltv, liquidation_threshold, timestamp")
 _M = "chain, token_address, token_symbol, price_usd, price_source, timestamp"
-register("source_blocks", _only(_B)(_drift_blocks), f"select {_B} from raw_blocks")
+register("source_blocks", _only(_B)(_drift_blocks), f"select {_B.replace('gas_limit', 'cast(gas_limit as bigint) gas_limit')} from raw_blocks")
 register("source_lending_events", _only(_E)(_drift_events), f"select {_E} from raw_lending_events")
 register("source_transfers", _only(_T)(lambda s, d: raw(s, d, "raw_transfers")), f"select {_T} from raw_transfers")
 register("source_positions", _only(_P)(_drift_positions), f"select {_P} from raw_positions")
@@ -423,7 +423,7 @@ register(
 register(
     "sum_merge",
     lambda s, d: versions.sum_merge(transfers(s, d).withColumn("usd", F.col("amount_usd").cast("decimal(18,2)")), ["token_address", "event_hour"], ["usd", "log_index"]),
-    "select token_address, event_hour, sum(cast(amount_usd as decimal(18,2))) usd, cast(sum(log_index) as bigint) log_index from stg_transfers group by all",
+    "select token_address, event_hour, cast(sum(cast(amount_usd as decimal(18,2))) as decimal(28,2)) usd, cast(sum(log_index) as bigint) log_index from stg_transfers group by all",
 )
 register(
     "high_water",
