@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,16 +50,27 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def runs(offsets: np.ndarray, limit: int = TILE) -> Iterator[tuple[int, int]]:
-    """Ranges of values of at most `limit` bytes together; a longer value stands alone."""
+def runs(offsets: np.ndarray, limit: int = TILE, most: int = 512) -> Iterator[tuple[int, int]]:
+    """Ranges of at most `most` values and `limit` bytes together; a longer value stands alone."""
     first, n = 0, len(offsets) - 1
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
-        last = min(max(last, first + 1), n)
+        last = min(max(last, first + 1), first + most, n)
         yield first, last
         first = last
 
 
+def sampled_labels(labels: DataFrame, label: str, rows: int) -> tuple[DataFrame, dict[int, float]]:
+    """Up to `rows` labelled ids of each class in the order of a hash, and the rows of its class that a sampled row stands for."""
+    sound = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
+    total = {r.label: r.n for r in sound.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    parts = [sound.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for k in sorted(total)]
+    empty = sound.where(F.lit(False))
+    for part in parts:
+        empty = empty.unionAll(part)
+    return empty, {k: n / min(n, rows) for k, n in total.items()}
+
+
 def texts(column: pa.Array, limit: int = TILE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first, last, bytes, offsets) of runs of values."""
     data, offsets = utf8(column)
@@ -91,19 +101,28 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(finish) + 1, np.searchsorted(offsets, starts, "right") - 1
 
 
-@cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(_PRIME, -1, 1 << 64)
-    up, down = np.full(size, _PRIME, np.uint64), np.full(size, inverse, np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+class _Kept(dict):
+    """A cache of one process: it travels empty when the functions of this module are sent to a task."""
+
+    def __reduce__(self):
+        return type(self), ()
+
+
+_POWERS = _Kept()
 
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd multiplier and of its inverse modulo 2^64."""
-    if size <= 2 * TILE:
-        return _powers(2 * TILE)
-    return _powers.__wrapped__(size)
+    """At least `size` powers of an odd multiplier, and of its inverse, modulo 2^64."""
+    standard = size <= TILE + 1
+    if standard and "standard" in _POWERS:
+        return _POWERS["standard"]
+    up = np.full(TILE + 1 if standard else size, _PRIME, np.uint64)
+    down = np.full(len(up), pow(_PRIME, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    out = np.cumprod(up), np.cumprod(down)
+    if standard:
+        _POWERS["standard"] = out
+    return out
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

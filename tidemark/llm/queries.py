@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import secrets
+from tidemark.llm import ann, langid, secrets, subword
+from tidemark.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,3 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @registered
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 3))
+
+
+@registered
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
