@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, langid, secrets, simhash, subword, suffixes, toxicity
+from tidemark.llm import ann, katz, langid, secrets, simhash, subword, suffixes, toxicity
 from tidemark.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op5_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scores(table(spark, sf_dir, "documents"))
