@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontam, katz, langid, secrets, simhash, subword, suffixes, toxicity
+from tidemark.llm import ann, decontam, katz, langid, mixing, secrets, simhash, subword, suffixes, toxicity
 from tidemark.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
