@@ -151,43 +151,64 @@ def search(vectors: DataFrame, query_modulus: int = 100, k: int = K, target: flo
     indexed = stored(good.mapInArrow(place, "vec_id long, v array<double>, leaf long"), "ann-index")
     # One row for each leaf, and there are FIT_ROWS / 16 leaves at most.
     held = {r.leaf: r.n for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    cells = packed(held, tree.leaves)
     queries = indexed.where(F.col("vec_id") % query_modulus == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q"))
     most = _visits_needed(tree, indexed, queries, k, target)
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            at = [tree.visits(np.asarray(q), most) for q in f.q]
-            yield f.assign(leaf=at).explode("leaf").dropna(subset="leaf").astype({"leaf": "int64"})
-
-    routed = queries.mapInPandas(route, "query_id long, q array<double>, leaf long")
-    routed = stored(routed, "ann-visits")
-    asked = {r.leaf: r.n for r in routed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    row_parts = {leaf: math.ceil(n / ROW_BLOCK) for leaf, n in held.items()}
-    query_parts = {leaf: math.ceil(n / QUERY_BLOCK) for leaf, n in asked.items()}
-    # Cells of a leaf: a part of its rows by a part of its queries.
-    rows = _dealt(indexed.where(F.col("leaf").isin(list(asked))) if len(asked) < len(held) else indexed, "vec_id", "row_part", row_parts, "query_part", query_parts, tree.leaves)
-    probes = _dealt(routed, "query_id", "query_part", query_parts, "row_part", row_parts, tree.leaves)
-    key = ["leaf", "row_part", "query_part"]
+            out = []
+            for query, q in zip(f.query_id, f.q, strict=True):
+                by_cell: dict[int, list[int]] = {}
+                for leaf in tree.visits(np.asarray(q), most):
+                    by_cell.setdefault(cells[leaf], []).append(leaf)
+                out += [(query, q, cell, leaves) for cell, leaves in by_cell.items()]
+            yield pd.DataFrame(out, columns=["query_id", "q", "cell", "leaves"])
+
+    routed = stored(queries.mapInPandas(route, "query_id long, q array<double>, cell long, leaves array<long>"), "ann-visits")
+    asked = {r.cell: r.n for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    rows_of: dict[int, int] = {}
+    for leaf, n in held.items():
+        rows_of[cells[leaf]] = rows_of.get(cells[leaf], 0) + n
+    row_parts = {cell: math.ceil(n / ROW_BLOCK) for cell, n in rows_of.items()}
+    query_parts = {cell: math.ceil(n / QUERY_BLOCK) for cell, n in asked.items()}
+    count = max(cells, default=0) + 1
+    placed = indexed.withColumn("cell", F.element_at(F.lit(cells or [0]), (F.col("leaf") + 1).cast("int")).cast("long"))
+    rows = _dealt(placed, "vec_id", "row_part", row_parts, "query_part", query_parts, count)
+    probes = _dealt(routed, "query_id", "query_part", query_parts, "row_part", row_parts, count)
+    key = ["cell", "row_part", "query_part"]
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            x, ids = _matrix(left.v), left.vec_id.to_numpy()
-            for query, q in zip(right.query_id, right.q, strict=True):
-                near, far = _closest(np.asarray(q, np.float64), x, ids, query, k)
-                out.append(pd.DataFrame({"query_id": query, "vec_id": ids[near], "score": far}))
+            left = left.sort_values("leaf", kind="stable")
+            x, ids, leaf = _matrix(left.v), left.vec_id.to_numpy(), left.leaf.to_numpy()
+            for query, q, visited in zip(right.query_id, right.q, right.leaves, strict=True):
+                own = np.concatenate([np.arange(*np.searchsorted(leaf, (i, i + 1))) for i in visited])
+                near, far = _closest(np.asarray(q, np.float64), x[own], ids[own], query, k)
+                out.append(pd.DataFrame({"query_id": query, "vec_id": ids[own[near]], "score": far}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
 
     found = rows.groupBy(*key).cogroup(probes.groupBy(*key)).applyInPandas(meet, "query_id long, vec_id long, score double")
-
-
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _dealt(df: DataFrame, by: str, own: str, own_parts: dict[int, int], other: str, other_parts: dict[int, int], leaves: int) -> DataFrame:
-    """Deal the rows of a leaf to its parts, and copy each to every part of the other side."""
-    table = lambda parts: F.element_at(F.lit([parts.get(i, 1) for i in range(leaves)]), (F.col("leaf") + 1).cast("int"))
+def packed(held: dict[int, int], leaves: int) -> list[int]:
+    """The cell of each leaf: neighbouring leaves share one while they have ROW_BLOCK rows together at most."""
+    out, cell, rows = [], 0, 0
+    for leaf in range(leaves):
+        n = held.get(leaf, 0)
+        if rows and rows + n > ROW_BLOCK:
+            cell, rows = cell + 1, 0
+        out.append(cell)
+        rows += n
+    return out
+
+
+def _dealt(df: DataFrame, by: str, own: str, own_parts: dict[int, int], other: str, other_parts: dict[int, int], cells: int) -> DataFrame:
+    """Deal the rows of a cell to its parts, and copy each to every part of the other side."""
+    table = lambda parts: F.element_at(F.lit([parts.get(i, 1) for i in range(cells)]), (F.col("cell") + 1).cast("int"))
     dealt = df.withColumn(own, F.pmod(F.xxhash64(by), table(own_parts)).cast("int"))
     return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), table(other_parts) - 1)))
 
