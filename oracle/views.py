@@ -32,6 +32,10 @@ def _word(value: str) -> str:
     return f"lpad(lower(hex({value})), 64, '0')"
 
 
+# Amounts of 70 to 256 bits, some just under a multiple of a power of ten, by remainder of the order.
+WIDE = (10**21 - 1, 10**24 - 1, 5 * 10**23 - 1, 165526809772148999999999, 2**255 + 999_999_937, 2**256 - 1)
+_WIDE_WORDS = " ".join(f"when {i} then '{n:064x}'" for i, n in enumerate(WIDE))
+
 _SHIPPED = "1698796800000 + ((MS(l_shipdate) - 788918400000) % 7776000000)"
 _TRANSFER_TIME = f"{_SHIPPED} + l_linenumber * 3600000 + (l_orderkey % 3600) * 1000"
 
@@ -95,7 +99,7 @@ VIEWS = {
  case when o_orderkey % 97 = 0 then {_hash('o_orderkey + 900000000')} else {_hash('o_orderkey')} end as parent_hash,
  1698796800000 + o_orderkey * 2000 as timestamp, cast(o_orderkey % 50 as int) as transaction_count,
  (o_orderkey * 7919) % 30000000 as gas_used, case when o_orderkey % 53 = 0 then 0 else 30000000 end as gas_limit, {_address('o_custkey')} as miner
- from orders where o_orderkey % 211 <> 5""",
+ from orders""",
     ),
     "messages": (
         ["events"],
@@ -107,7 +111,7 @@ VIEWS = {
         ["lineitem", "orders"],
         f"""select {_address('900000 + l_partkey % 8')} as address, '{logs.TRANSFER_TOPIC}' as topic0,
  concat('0x', {_word('o_custkey')}) as topic1, concat('0x', {_word('l_suppkey')}) as topic2, cast(null as string) as topic3,
- concat('0x', {_word('cast(round(l_quantity * 1e6) as bigint)')}) as data, o_orderkey + 1 as block_number,
+ concat('0x', case o_orderkey % 50 {_WIDE_WORDS} else {_word('cast(round(l_quantity * 1e6) as bigint)')} end) as data, o_orderkey + 1 as block_number,
  {_hash('l_orderkey')} as tx_hash, l_linenumber as log_index, {_TRANSFER_TIME} as timestamp
  from lineitem join orders on l_orderkey = o_orderkey""",
     ),
@@ -152,14 +156,8 @@ VIEWS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, spread over the cores where its scan has fewer tasks than that.
-
-    The small test files hold a single row group, which Spark cannot split; a
-    table of many files already has enough tasks and is read as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _expand_ms(sql: str, template: str) -> str:
@@ -208,14 +206,14 @@ def raw_logs(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.select("address", topics.alias("topics"), "data", "block_number", "tx_hash", "log_index", "timestamp")
 
 
-def rt_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Real-time risk rows for part of the accounts' snapshots."""
+def rt_risk(spark: SparkSession, sf_dir: str, part: str = "true") -> DataFrame:
+    """Real-time risk rows for the accounts' snapshots, or for those that meet `part`."""
     from tidemark.functions.risk import risk_level
     from tidemark.functions.values import from_millis
 
     return (
         raw(spark, sf_dir, "raw_positions")
-        .where("block_number % 3 = 0")
+        .where(part)
         .select(
             "chain",
             "user_address",

@@ -23,7 +23,7 @@ def in_files(df, path, order, parts):
 
 
 def options(tmp_path):
-    return JobOptions(run=uuid.uuid4().hex, fallback=str(tmp_path / "checkpoints"), available_now=True)
+    return JobOptions(run=uuid.uuid4().hex, available_now=True)
 
 
 def same(left, right):
@@ -53,6 +53,19 @@ def test_risk_stream_equals_batch(spark, small, tmp_path):
     assert same(read_upserts(spark, str(tmp_path / "compact"), keys, "version"), current) > 0
 
 
+def test_risk_stream_keeps_late_positions(spark, small, tmp_path):
+    """Files in falling order of time: every position comes out, however far behind it arrives."""
+    positions = raw(spark, small, "raw_positions")
+    late = positions.withColumn("timestamp", -F.col("timestamp"))
+    path = in_files(late, str(tmp_path / "in"), "timestamp", 3)
+    stream = stream_source(spark, StreamConfig(path=path, max_files_per_trigger=1), schemas.POSITIONS)
+    stream = stream.withColumn("timestamp", -F.col("timestamp"))
+    metrics = str(tmp_path / "metrics")
+    jobs.start_risk(stream, metrics, str(tmp_path / "alerts"), options(tmp_path)).awaitTermination()
+    key = ["chain", "protocol", "user_address", "block_number", "risk_level"]
+    assert same(read_batches(spark, metrics).select(*key), risk.risk_metrics(positions).select(*key)) == positions.count()
+
+
 def test_token_flow_stream_equals_batch(spark, small, tmp_path):
     transfers = raw(spark, small, "raw_transfers")
     path = in_files(transfers, str(tmp_path / "in"), "timestamp", 3)

@@ -105,10 +105,11 @@ def poll_tiers(latest: DataFrame, activity: DataFrame, as_of: str | datetime) ->
     """How often each account is polled: by risk first, then by activity in the last day.
 
     `latest` holds user_address and health_factor, `activity` user_address and
-    last_active_ms. Accounts that are neither risky nor ever active are not polled.
+    last_active_ms. A user of several protocols counts by the lowest health
+    factor. Accounts that are neither risky nor ever active are not polled.
     """
     cutoff = moment_ms(as_of) - DAY_MS
-    joined = latest.select("user_address", "health_factor").join(
+    joined = latest.groupBy("user_address").agg(F.min("health_factor").alias("health_factor")).join(
         activity.select("user_address", "last_active_ms"), "user_address", "full_outer"
     )
     tier = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import DAY_MS, DEBOUNCE_MS, DEFAULTS, HOUR_MS, STATE_TTL_MS, Settings
+from tidemark.config import DAY_MS, DEBOUNCE_MS, DEFAULTS, STATE_TTL_MS, Settings
 from tidemark.functions.risk import debounce_ms, risk_level, risk_rank
 from tidemark.functions.values import dash_key, from_millis
 from tidemark.operators.timeline import keep_spaced, with_history
@@ -130,9 +130,7 @@ def alert_candidates(transitions: DataFrame, settings: Settings = DEFAULTS) -> D
     ).withColumn("alert_id", F.md5("_id")).drop("_id")
 
 
-def debounce(
-    candidates: DataFrame, keys: tuple[str, ...] = ("user_address",), bucket_ms: int = HOUR_MS
-) -> DataFrame:
+def debounce(candidates: DataFrame, keys: tuple[str, ...] = ("user_address",)) -> DataFrame:
     """Drop alerts that follow the last emitted one of the user too closely.
 
     The window belongs to the new level; the clock moves on emitted alerts only.
@@ -143,8 +141,6 @@ def debounce(
         "event_ms",
         "_gap",
         ["block_number", "protocol", "chain", "current_health_factor"],
-        max(DEBOUNCE_MS.values()),
-        bucket_ms,
     )
     return spaced.drop("_gap")
 

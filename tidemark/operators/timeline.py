@@ -9,10 +9,13 @@ buckets, and the look-back over summaries is bounded by the covered time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import DAY_MS, HOUR_MS
+from tidemark.config import DAY_MS
 
 
 def with_history(
@@ -58,112 +61,27 @@ def with_history(
     )
 
 
-def keep_spaced(
-    df: DataFrame,
-    keys: list[str],
-    millis: str,
-    spacing: str,
-    tie_break: list[str],
-    max_spacing_ms: int,
-    bucket_ms: int = HOUR_MS,
-) -> DataFrame:
+def keep_spaced(df: DataFrame, keys: list[str], millis: str, spacing: str, tie_break: list[str]) -> DataFrame:
     """Rows that lie at least `spacing` ms after the last kept row of their key.
 
-    Which rows are kept depends on the rows kept before, so this is a fold,
-    not a window function. The fold is cut at time buckets: a row can only be
-    held back by a row kept within `max_spacing_ms`, hence the effect of an
-    earlier bucket is its last kept time, which is one of its trailing rows or
-    irrelevant. Every bucket is folded once per possible entry, the small
-    entry-to-exit tables are chained per key, and the true entry of each
-    bucket decides its rows. A bucket holds one key's rows of one hour.
+    Which rows are kept depends on the rows kept before: a fold, not a window function. The rows are read and shuffled
+    once, sorted by key and time, and streamed with one number carried along, so the work is linear in the rows and the
+    memory does not grow with a key. A key's rows pass through one task; that is the recurrence itself.
     """
-    if max_spacing_ms > bucket_ms:
-        raise ValueError("the longest spacing must fit into one bucket")
-    columns = list(df.columns)
-    bucket = F.floor(F.col(millis) / F.lit(bucket_ms))
-    item = F.struct(
-        F.col(millis).alias("t"),
-        F.struct(*tie_break).alias("tie"),
-        F.col(spacing).cast("long").alias("gap"),
-        F.struct(*columns).alias("row"),
-    )
-    # A row late enough in its bucket to hold back rows of the next one also
-    # goes there, as a bare time, so that one shuffle brings both together.
-    bucket_end = (bucket + 1) * F.lit(bucket_ms)
-    reach = F.when(
-        F.col(millis) > bucket_end - F.lit(max_spacing_ms), F.array(bucket, bucket + 1)
-    ).otherwise(F.array(bucket))
-    at_home = F.col("_bucket") == bucket
-    grouped = (
-        df.select("*", F.explode(reach).alias("_bucket"))
-        .groupBy(*keys, "_bucket")
-        .agg(
-            F.sort_array(F.collect_list(F.when(at_home, item))).alias("items"),
-            F.collect_set(F.when(~at_home, F.col(millis))).alias("entries"),
-        )
-        .where(F.size("items") > 0)
-    )
-    # 0 stands for "nothing kept recently", the value a fresh key starts from.
-    never = F.lit(0).cast("long")
-    # Only buckets that take times over, or hand some on, have to be chained.
-    newest = F.element_at("items", -1)["t"]
-    hands_on = newest > (F.col("_bucket") + 1) * F.lit(bucket_ms) - F.lit(max_spacing_ms)
-    tables = grouped.where((F.size("entries") > 0) | hands_on).withColumn(
-        "possible", F.concat(F.array(never), "entries")
-    )
-
-    def exit_time(entry: Column) -> Column:
-        return F.aggregate(
-            "items", entry, lambda last, i: F.when(i["t"] - last >= i["gap"], i["t"]).otherwise(last)
-        )
 
-    step = F.struct(
-        F.col("_bucket").alias("bucket"),
-        F.col("possible").alias("entries"),
-        F.transform("possible", exit_time).alias("exits"),
-    )
-    # A bucket without entries depends on nothing before it and starts a run.
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
-    chained = tables.select(
-        *keys, "_bucket", step.alias("step"), (F.size("entries") == 0).cast("long").alias("_start")
-    ).withColumn("_run", F.sum("_start").over(by_bucket))
-
-    def follow(acc: Column, s: Column) -> Column:
-        # A kept time that is not among the entries is too old to matter.
-        place = F.greatest(F.array_position(s["entries"], acc["at"]), F.lit(1).cast("bigint")).cast("int")
-        return F.struct(
-            F.element_at(s["exits"], place).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(s["bucket"].alias("_bucket"), F.element_at(s["entries"], place).alias("_entry"))
-                ),
-            ).alias("out"),
-        )
-
-    nothing = F.array().cast("array<struct<_bucket:bigint,_entry:bigint>>")
-    entered = (
-        chained.groupBy(*keys, "_run")
-        .agg(F.sort_array(F.collect_list("step")).alias("steps"))
-        .select(
-            *keys,
-            F.inline(
-                F.aggregate(
-                    "steps", F.struct(never.alias("at"), nothing.alias("out")), follow, lambda acc: acc["out"]
-                )
-            ),
-        )
-    )
-
-    def keep(acc: Column, i: Column) -> Column:
-        kept = i["t"] - acc["last"] >= i["gap"]
-        return F.struct(
-            F.when(kept, i["t"]).otherwise(acc["last"]).alias("last"),
-            F.when(kept, F.concat(acc["rows"], F.array(i["row"]))).otherwise(acc["rows"]).alias("rows"),
-        )
-
-    row_type = df.select(F.array(F.struct(*columns)).alias("a")).schema["a"].dataType
-    start = F.struct(F.coalesce("_entry", never).alias("last"), F.array().cast(row_type).alias("rows"))
-    return grouped.join(entered, [*keys, "_bucket"], "left").select(
-        F.inline(F.aggregate("items", start, keep, lambda acc: acc["rows"]))
-    )
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, last = None, 0
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in keys]
+            times, gaps = batch.column(millis).to_pylist(), batch.column(spacing).to_pylist()
+            keep = []
+            for own, at, gap in zip(zip(*columns, strict=True), times, gaps, strict=True):
+                if own != key:
+                    key, last = own, 0
+                kept = at - last >= gap
+                last = at if kept else last
+                keep.append(kept)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    ordered = df.repartition(*keys).sortWithinPartitions(*keys, millis, *tie_break)
+    return ordered.mapInArrow(fold, df.schema)

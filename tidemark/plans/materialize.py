@@ -12,7 +12,7 @@ Tables are plain Parquet folders. Delete+insert comes in two forms:
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -69,7 +69,10 @@ class Warehouse:
         if rows is None:
             raise ValueError(f"table {spec.name} has not been built")
         if spec.mode == "delete_insert" and not spec.partition_by:
-            return latest_by(rows, [spec.unique_key], [F.col(spec.version).desc()])
+            # A corrected row may have the version of the row that it replaces: the later build wins.
+            built = [F.col(c).desc() for c in ("dbt_updated_at",) if c in rows.columns]
+            rest = F.struct(*sorted(set(rows.columns) - {spec.unique_key, spec.version})).desc()
+            return latest_by(rows, [spec.unique_key], [F.col(spec.version).desc(), *built, rest])
         return rows
 
     def mark(self, spec: TableSpec, default=None):
@@ -126,7 +129,3 @@ def apply_retention(df: DataFrame, column: str, days: int, as_of: str | datetime
 def store_failures(failures: DataFrame, path: str) -> None:
     """Keep the failing rows of a check."""
     failures.write.mode("overwrite").parquet(path)
-
-
-def day(value: date | str) -> date:
-    return value if isinstance(value, date) else date.fromisoformat(value)

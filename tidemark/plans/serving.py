@@ -21,10 +21,9 @@ from tidemark.plans.marts import risk_distribution
 Moment = str | datetime
 
 
-def clamp(value: int | None, default: int, highest: int) -> int:
-    if value is None or value <= 0:
-        return default
-    return min(value, highest)
+def given(value: int | None, default: int) -> int:
+    """What was asked for, or the default for nothing and for values that aren't positive."""
+    return default if value is None or value <= 0 else value
 
 
 def checked_address(address: str) -> str:
@@ -83,7 +82,7 @@ def high_risk(
     rows = latest_version(rt_risk, ACCOUNT, "version").where(
         (F.col("risk_level") == level) & (F.col("total_collateral_usd") >= min_collateral)
     )
-    top = rows.orderBy("health_factor", "user_address", "protocol", "chain").limit(clamp(limit, 100, 1000))
+    top = rows.orderBy("health_factor", "user_address", "protocol", "chain").limit(given(limit, 100))
     return _risk_rows(top)
 
 
@@ -111,7 +110,7 @@ def address_flow_totals(
     netflow: DataFrame, address: str, as_of: Moment, days: int | None = 30, token: str | None = None
 ) -> DataFrame:
     """Totals over the same days; one row even for an address without flow."""
-    period = clamp(days, 30, 90)
+    period = given(days, 30)
     total_in = F.coalesce(F.sum("inflow_usd"), F.lit(0.0))
     total_out = F.coalesce(F.sum("outflow_usd"), F.lit(0.0))
     return _address_days(netflow, address, as_of, days, token).agg(
@@ -124,7 +123,7 @@ def address_flow_totals(
 
 
 def _address_days(netflow, address, as_of, days, token) -> DataFrame:
-    first = day_of(as_of) - timedelta(days=clamp(days, 30, 90))
+    first = day_of(as_of) - timedelta(days=given(days, 30))
     rows = netflow.where(
         (F.col("address") == checked_address(address)) & (F.col("event_date") >= F.lit(first))
     )
@@ -138,7 +137,7 @@ def _address_days(netflow, address, as_of, days, token) -> DataFrame:
 
 
 def _movements(mart, as_of, hours, min_usd, direction) -> DataFrame:
-    hours = clamp(hours, 24, 168)
+    hours = given(hours, 24)
     if min_usd is None or min_usd < 0:
         min_usd = 100_000
     since = moment(as_of) - F.expr(f"interval {hours} hours")
@@ -182,12 +181,10 @@ def whale_movements_totals(
     hours: int | None = 24,
     min_usd: float | None = 100_000,
     direction: str = "all",
-    limit: int = 1000,
 ) -> DataFrame:
-    """Count and volume of the listed movements (after the limit, as listed)."""
-    listed = _newest(_movements(mart, as_of, hours, min_usd, direction), limit)
-    return listed.agg(
-        F.lit(clamp(hours, 24, 168)).alias("period_hours"),
+    """Count and volume of all movements that match; a limit belongs to the list alone."""
+    return _movements(mart, as_of, hours, min_usd, direction).agg(
+        F.lit(given(hours, 24)).alias("period_hours"),
         F.count(F.lit(1)).alias("total_movements"),
         money_text(F.coalesce(F.sum("amount_usd"), F.lit(0.0))).alias("total_volume_usd"),
     )
@@ -196,7 +193,7 @@ def whale_movements_totals(
 def whale_list(whales: DataFrame, limit: int | None = 100) -> DataFrame:
     return (
         whales.orderBy(F.col("max_whale_value_usd").desc(), "address")
-        .limit(clamp(limit, 100, 1000))
+        .limit(given(limit, 100))
         .select("address", "whale_types", "max_whale_value_usd", "is_position_whale", "is_transfer_whale")
     )
 
@@ -220,7 +217,7 @@ def ecosystem_stats(kpis: DataFrame, rt_risk: DataFrame) -> DataFrame:
 
 def tvl_history(cdp_metrics: DataFrame, as_of: Moment, days: int | None = 30) -> DataFrame:
     """Total value locked, debt and users per day."""
-    first = day_of(as_of) - timedelta(days=clamp(days, 30, 3650))
+    first = day_of(as_of) - timedelta(days=given(days, 30))
     return (
         cdp_metrics.where(F.col("metrics_date") >= F.lit(first))
         .groupBy("metrics_date")

@@ -32,18 +32,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder named by the cluster; `fallback` only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", "") or fallback
-    if not folder:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
-    return folder
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder named by the cluster, or, where none is set (tests), one in the warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", "") or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
 
 
-def cut_lineage(df: DataFrame, fallback: str | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(os.path.join(checkpoint_root(spark, fallback), "lineage"))
+        context.setCheckpointDir(os.path.join(checkpoint_root(spark), "lineage"))
     return df.checkpoint(eager=True)

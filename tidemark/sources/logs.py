@@ -77,7 +77,7 @@ def uint_text(hex_digits: Column) -> Column:
             digits,
             start,
             lambda acc, d: F.struct(
-                F.floor((d * F.lit(1 << 28) + acc["carry"]) / base).cast("bigint").alias("carry"),
+                F.call_function("div", d * F.lit(1 << 28) + acc["carry"], base).alias("carry"),
                 F.concat(acc["out"], F.array(F.pmod(d * F.lit(1 << 28) + acc["carry"], base))).alias("out"),
             ),
         )

@@ -9,19 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.sources import schemas
 
-# Topics watched by the data-quality monitor.
-MONITORED_TOPICS = (
-    "base.blocks",
-    "base.aave.supply",
-    "base.aave.withdraw",
-    "base.aave.borrow",
-    "base.aave.repay",
-    "base.aave.liquidation",
-    "base.erc20.transfers",
-    "base.positions",
-    "market.prices",
-)
-
 # How far out of order each stream may be.
 DISORDER = {
     "positions": "30 seconds",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,22 +21,35 @@ class JobOptions:
     """`available_now` drains the source and stops; otherwise batches start every `interval`.
 
     Checkpoints live under `run` in the cluster's shared checkpoint folder; a
-    restart with the same `run` resumes. `fallback` serves where no folder is set.
+    restart with the same `run` resumes.
     """
 
     run: str = "default"
-    fallback: str | None = None
     interval: str = "60 seconds"
     available_now: bool = False
 
 
-def large_state(spark: SparkSession) -> None:
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting that a query reads when it starts; the session gets its own value back."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def large_state(spark: SparkSession):
     """Keep operator state in RocksDB, on disk, instead of on the heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
 def _root(spark: SparkSession, options: JobOptions) -> str:
-    return f"{checkpoint_root(spark, options.fallback)}/{options.run}"
+    return f"{checkpoint_root(spark)}/{options.run}"
 
 
 def _trigger(options: JobOptions) -> dict:
@@ -53,21 +68,19 @@ def start_risk(positions: DataFrame, metrics_path: str, alerts_path: str, option
         alerts=(risk.alerts_of, append_sink(alerts_path)),
         messages=(risk.alerts_of, alert_sink(f"{alerts_path}_json")),
     )
-    return _start(risk.risk_stream(positions), "risk", writer, options, "append")
+    spark = positions.sparkSession
+    # A query with a processing-time timeout asks for one empty batch after the other; expired state can wait for data.
+    with setting(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false"), large_state(spark):
+        return _start(risk.risk_stream(positions), "risk", writer, options, "append")
 
 
 def start_token_flow(transfers: DataFrame, path: str, options: JobOptions = JobOptions()):
     """The query has one stateful operator, so late rows are judged by the
     watermark of the batch itself, as `start_late_transfers` does; the setting
     is read when the query starts and is put back for the session."""
-    conf = transfers.sparkSession.conf
-    name = "spark.sql.streaming.statefulOperator.allowMultiple"
-    before = conf.get(name)
-    conf.set(name, "false")
-    try:
+    spark = transfers.sparkSession
+    with setting(spark, "spark.sql.streaming.statefulOperator.allowMultiple", "false"), large_state(spark):
         return _start(flow.token_flow_stream(transfers), "token_flow", upsert_sink(path), options, "update")
-    finally:
-        conf.set(name, before)
 
 
 def start_late_transfers(transfers: DataFrame, path: str, options: JobOptions = JobOptions()):

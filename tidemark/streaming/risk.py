@@ -12,7 +12,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidemark.config import DEBOUNCE_MS, DEFAULTS, STATE_TTL_MS, Settings
 from tidemark.functions.risk import risk_level
 from tidemark.operators.risk import ORDER, alert_candidates, alert_record, metrics_record
-from tidemark.sources.streams import DISORDER
 
 # Level, previous level, time of the last change, health factor, time of the
 # last position, time of the last emitted alert.
@@ -57,8 +56,8 @@ def track_user(
         fires.append(fire)
         known = (level, before, since, float(health), at, alerted)
     state.update(known)
-    # Event-time timeout only frees memory: expiry itself is judged above.
-    state.setTimeoutTimestamp(max(known[4] + STATE_TTL_MS, state.getCurrentWatermarkMs() + 1))
+    # The timeout only frees memory: expiry itself is judged above, by event time.
+    state.setTimeoutDuration(STATE_TTL_MS)
     yield rows.drop(columns=["_rank"]).assign(
         previous_risk_level=previous,
         risk_changed_ms=changed,
@@ -72,9 +71,13 @@ LEVEL_RANK = {name: i for i, name in enumerate(DEBOUNCE_MS, start=1)}
 
 
 def risk_stream(
-    positions: DataFrame, delay: str = DISORDER["positions"], settings: Settings = DEFAULTS
+    positions: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
-    """Transitions of a position stream; `metrics_of` and `alerts_of` select the two outputs."""
+    """Transitions of a position stream; `metrics_of` and `alerts_of` select the two outputs.
+
+    There is no watermark, which would delete late positions: each counts when its micro-batch arrives, and the rows of
+    one micro-batch count in event order.
+    """
     keep = [
         "chain",
         "protocol",
@@ -94,7 +97,6 @@ def risk_stream(
         positions.where(F.col("timestamp").isNotNull())
         .select(*keep, level.alias("risk_level"), F.timestamp_millis("timestamp").alias("event_time"))
         .withColumn("_rank", ranks[F.col("risk_level")])
-        .withWatermark("event_time", delay)
     )
     types = {f.name: f.dataType.simpleString() for f in source.schema.fields}
     columns = [*keep, "risk_level", "event_time"]
@@ -108,7 +110,7 @@ def risk_stream(
         return track_user(key, chunks, state, decline)
 
     return source.groupBy("user_address").applyInPandasWithState(
-        step, output, STATE, "append", GroupStateTimeout.EventTimeTimeout
+        step, output, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 
