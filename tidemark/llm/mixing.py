@@ -53,7 +53,6 @@ class Rates:
     """The steps of the descent: the rate of a document is 1, less the product of its posteriors and each step in turn, never under 0."""
 
     steps: tuple[tuple[float, ...], ...]
-    miss: float
 
     def column(self, posteriors: str = "posteriors") -> Column:
         """All steps applied to the column of posteriors, in order."""
@@ -77,23 +76,21 @@ def fit_rates(weighted: DataFrame, weights: list[float]) -> Rates:
     first = weighted.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), *[s.alias(f"g{i}") for i, s in enumerate(sums)]).first()
     total = float(first.n)
     if total == 0:
-        return Rates((), 0.0)
+        return Rates(())
     gram = np.array(first[1:], np.float64).reshape(k, k)
     inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     share = np.array(weights, np.float64)
     target = total * share / share.sum()
-    best = Rates((), float("inf"))
-    rates = Rates((), 0.0)
+    rates, best, least = Rates(()), Rates(()), float("inf")
     for _ in range(ROUNDS):
         rated = weighted.withColumn("rate", rates.column())
         row = rated.agg(*[F.sum(F.col("rate") * F.col("tokens") * x).alias(f"s{i}") for i, x in enumerate(p)]).first()
         gap = np.array(row, np.float64) - target
-        rates = Rates(rates.steps, float(np.abs(gap).max() / total))
-        if rates.miss < best.miss:
-            best = rates
-        if rates.miss < TOLERANCE:
+        cost = float(gap @ inverse @ gap)
+        better, least, best = cost < least * (1 - 1e-6), min(cost, least), rates if cost < least else best
+        if not better or np.abs(gap).max() < TOLERANCE * total:
             break
-        rates = Rates((*rates.steps, tuple(float(x) for x in inverse @ gap)), rates.miss)
+        rates = Rates((*rates.steps, tuple(float(x) for x in inverse @ gap)))
     return best
 
 

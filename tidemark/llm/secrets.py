@@ -22,7 +22,8 @@ _LONG_ACCESS = r"AKIA[A-Z0-9]{12,}"
 _CANDIDATE = rf"(?<!{RUN}){RUN}{{{MIN_RUN},}}"
 SIZE = 128
 MARGIN = 5.0
-SMOOTHING = 0.5
+#: Occurrences added to each character, and steps with which a character's own share backs up the steps seen after another.
+SMOOTHING, BACKING = 0.5, 66.0
 _NONE = "cast(array() as array<struct<start:int,rank:int,end:int,value:string>>)"
 
 
@@ -98,8 +99,12 @@ def _fitted(counts: dict[tuple[bool, int, int], float]) -> Markov:
     letters = [i for i in range(SIZE) if chr(i).isalnum() or chr(i) in "+/_=-"]
     rows = {(k, a): sum(counts.get((k, a, b), 0.0) for b in letters) for k in (True, False) for a in [0, *letters]}
 
+    seen = {(k, b): sum(counts.get((k, a, b), 0.0) for a in [0, *letters]) for k in (True, False) for b in letters}
+    total = {k: sum(seen[k, b] for b in letters) for k in (True, False)}
+
     def log_p(kind: bool, a: int, b: int) -> float:
-        return math.log((counts.get((kind, a, b), 0.0) + SMOOTHING) / (rows[kind, a] + SMOOTHING * len(letters)))
+        alone = (seen[kind, b] + SMOOTHING) / (total[kind] + SMOOTHING * len(letters))
+        return math.log((counts.get((kind, a, b), 0.0) + BACKING * alone) / (rows[kind, a] + BACKING))
 
     table = [0.0] * (SIZE * SIZE)
     for a in [0, *letters]:
