@@ -201,6 +201,9 @@ def to_alert_json(alerts: DataFrame) -> DataFrame:
     return alerts.select(F.col("user_address").alias("key"), F.to_json(body).alias("value"))
 
 
+SALTS = 64
+
+
 def route_alerts(alerts: DataFrame, configs: DataFrame) -> DataFrame:
     """Alerts matched to the users who asked for them.
 
@@ -208,6 +211,8 @@ def route_alerts(alerts: DataFrame, configs: DataFrame) -> DataFrame:
     alert types; a NULL address watches every address. The two cases join
     separately: watched addresses by key, and watch-everything users by the
     severity rank, so no pair is formed that does not lead to a result row.
+    There are four ranks only, so alerts are dealt to SALTS parts of each and
+    the watchers of a rank are copied to every part.
     """
     # Severities from lowest to highest.
     ranks = F.array(*[F.lit(s) for s in ("INFO", "WARNING", "HIGH", "CRITICAL")])
@@ -224,9 +229,12 @@ def route_alerts(alerts: DataFrame, configs: DataFrame) -> DataFrame:
     by_address = ranked.join(
         wanted.where(F.col("_address").isNotNull()), F.lower("user_address") == F.col("_address")
     ).where(passes)
-    watching_all = wanted.where(F.col("_address").isNull()).withColumn(
-        "_rank", F.explode(F.sequence(F.col("_least"), F.lit(4).cast("bigint")))
+    watching_all = (
+        wanted.where(F.col("_address").isNull())
+        .withColumn("_rank", F.explode(F.sequence(F.col("_least"), F.lit(4).cast("bigint"))))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
-    by_rank = ranked.join(watching_all, "_rank").where(passes)
+    salted = ranked.withColumn("_salt", F.pmod(F.xxhash64("alert_id", "user_address"), F.lit(SALTS)).cast("int"))
+    by_rank = salted.join(watching_all, ["_rank", "_salt"]).where(passes)
     names = ["user_id", *alerts.columns]
     return by_address.select(*names).unionByName(by_rank.select(*names))
