@@ -388,14 +388,14 @@ register("core_address_positions", core_positions, "select * from core_positions
 register(
     "latest_positions",
     lambda s, d: positions.latest_positions(raw(s, d, "raw_positions")).select("chain", "protocol", "user_address", "block_number", "health_factor", "timestamp"),
-    "select chain, protocol, user_address, block_number, health_factor, timestamp from latest_positions",
+    "select chain, protocol, user_address, block_number, health_factor, timestamp from newest_positions",
 )
 register("core_address_netflow_daily", netflow, "select * from netflow", FLOW_SUMS)
 register("core_cdp_metrics_daily", cdp, "select * from cdp_metrics", CDP_SUMS)
 register("core_token_metrics_daily", token_metrics, "select * from token_metrics", (*TOKEN_SUMS, "net_supply_change", "avg_price_usd"))
-register("daily_events", lambda s, d: lending.daily_events(events(s, d)), "select * from daily_events", ("volume_usd", "avg_amount_usd"))
+register("daily_events", lambda s, d: lending.daily_events(events(s, d)), "select * from events_by_day", ("volume_usd", "avg_amount_usd"))
 register("event_pivot", lambda s, d: lending.event_pivot(lending.daily_events(events(s, d))), "select * from event_pivot", PIVOT_SUMS)
-register("daily_positions", lambda s, d: lending.daily_positions(staged_positions(s, d)), "select * from daily_positions", ("avg_health_factor",))
+register("daily_positions", lambda s, d: lending.daily_positions(staged_positions(s, d)), "select * from positions_by_day", ("avg_health_factor",))
 register(
     "daily_positions_latest",
     lambda s, d: lending.daily_positions(staged_positions(s, d), latest_only=True),
@@ -404,7 +404,7 @@ register(
      from (select *, row_number() over (partition by position_date, chain, protocol, user_address order by block_number desc) rn from stg_positions) where rn = 1 group by position_date, protocol""",
     ("avg_health_factor",),
 )
-register("daily_transfers", lambda s, d: flows.daily_transfers(transfers(s, d)), "select * from daily_transfers", TOKEN_SUMS)
+register("daily_transfers", lambda s, d: flows.daily_transfers(transfers(s, d)), "select * from transfers_by_day", TOKEN_SUMS)
 register("daily_ohlc", lambda s, d: flows.daily_ohlc(prices(s, d)), "select * from daily_ohlc", ("avg_price_usd",))
 register(
     "core_whale_addresses",
@@ -415,7 +415,7 @@ register(
 register(
     "whale_sources",
     lambda s, d: whales.position_whales(core_positions(s, d)).unionByName(whales.transfer_whales(transfers(s, d), AS_OF)),
-    "select * from position_whales union all select * from transfer_whales",
+    "select * from whale_values",
     ("whale_value_usd",),
 )
 register(
@@ -684,7 +684,7 @@ register(
         transfers(s, d).groupBy(F.col("from_address").alias("user_address")).agg(F.max(F.unix_millis("event_timestamp")).alias("last_active_ms")),
         AS_OF,
     ),
-    f"""select * from (with l as (select user_address, min(health_factor) health_factor from latest_positions group by user_address),
+    f"""select * from (with l as (select user_address, min(health_factor) health_factor from newest_positions group by user_address),
      a as (select from_address user_address, max(epoch_us(event_timestamp) // 1000) last_active_ms from stg_transfers group by from_address),
      j as (select coalesce(l.user_address, a.user_address) user_address, health_factor, last_active_ms from l full outer join a on l.user_address = a.user_address),
      t as (select user_address, case when health_factor < 15e-1 then 'high_risk' when last_active_ms > epoch_us({NOW}) // 1000 - 86400000 then 'active'
