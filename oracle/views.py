@@ -168,9 +168,9 @@ def _expand_ms(sql: str, template: str) -> str:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a file stream over the same folder."""
+    """A given table, one file or a folder of files, as a file stream."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
 
 
 def spark_view(spark: SparkSession, sf_dir: str, name: str, stream: str | None = None) -> DataFrame:
