@@ -32,6 +32,7 @@ CLASS = 1.15
 #: Simulated leaks of a class by which walks are calibrated.
 TRIALS = 200
 PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
+_MARK = np.uint64((1 << 20) - 1)
 
 
 def edits(n: int) -> int:
@@ -61,8 +62,8 @@ class Class:
 
     size: int
     window: int
-    needed: int
-    items: tuple[int, ...]
+    seed: int
+    grams: np.ndarray
     walks: tuple[tuple[np.ndarray, np.ndarray], ...]
     keys: tuple[np.ndarray, ...]
     owners: tuple[np.ndarray, ...]
@@ -112,6 +113,14 @@ def _spoiled(item: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
+def grams(t: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the n words from each place on."""
+    h = t[: max(0, len(t) - n + 1)]
+    for i in range(1, n):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + t[i : len(t) - n + 1 + i]
+    return mixed(h)
+
+
 def _made_class(items: list[np.ndarray], members: list[int], seed: int = 11) -> Class:
     sizes = [len(items[i]) for i in members]
     size, longest = min(sizes), max(sizes)
@@ -137,7 +146,9 @@ def _made_class(items: list[np.ndarray], members: list[int], seed: int = 11) ->
             order = np.argsort(row, kind="stable")
             keys.append(row[order])
             owners.append(np.array(members)[order])
-    return Class(size, longest + edits(longest), size - edits(size), tuple(members), walks[:used], tuple(keys), tuple(owners))
+    seed = min(n // (edits(n) + 1) for n in sizes)
+    seeds = np.unique(np.concatenate([grams(items[i], seed) for i in members]))
+    return Class(size, longest + edits(longest), seed, seeds, walks[:used], tuple(keys), tuple(owners))
 
 
 class Matcher:
@@ -145,7 +156,6 @@ class Matcher:
 
     def __init__(self, ids: list, items: list[np.ndarray]):
         self.ids, self.items = ids, items
-        self.vocabulary = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint64)
         order = sorted(range(len(items)), key=lambda i: len(items[i]))
         self.classes, group = [], []
         for i in order:
@@ -155,23 +165,32 @@ class Matcher:
             group.append(i)
         if group:
             self.classes.append(_made_class(items, group))
+        # A bit for each seed's low bits: nearly all words of a corpus fail this first test.
+        self.marks = {n: np.zeros(1 << 20, bool) for n in {c.seed for c in self.classes}}
+        for c in self.classes:
+            self.marks[c.seed][c.grams & _MARK] = True
 
     def find(self, t: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(text, item, distance, word where the window starts) of the nearest window of each item in each text."""
-        if not len(t) or not len(self.vocabulary):
+        """(text, item, distance, words up to its end) of the nearest stretch of each item in each text."""
+        if not len(t):
             return []
-        slot = np.minimum(np.searchsorted(self.vocabulary, t), len(self.vocabulary) - 1)
-        known = self.vocabulary[slot] == t
-        before = np.concatenate([[0], np.cumsum(known)])
-        start = np.flatnonzero(known)
-        end = at[np.searchsorted(at, start, "right")]
+        seeds = {}
+        for n, marks in self.marks.items():
+            h = grams(t, n)
+            place = np.flatnonzero(marks[h & _MARK])
+            place = place[np.searchsorted(at, place, "right") == np.searchsorted(at, place + n - 1, "right")]
+            seeds[n] = place, h[place]
         best: dict[tuple[int, int], tuple[int, int]] = {}
         for c in self.classes:
-            # A window that is near enough starts with a word of its item and holds so many of them; that is the least test.
-            enough = before[np.minimum(start + c.window, end)] - before[start] >= c.needed
-            s, e = start[enough], end[enough]
-            if not len(s):
+            # Edits cut an item into edits + 1 pieces at most, so a near window holds a piece unchanged: no window is lost here.
+            place, h = seeds[c.seed]
+            place = place[np.isin(h, c.grams)]
+            if not len(place):
                 continue
+            text = np.searchsorted(at, place, "right") - 1
+            reach = place[:, None] - np.arange(c.window)
+            s = np.unique(reach[reach >= at[text][:, None]])
+            e = at[np.searchsorted(at, s, "right")]
             pairs = []
             for w, walk in enumerate(c.walks):
                 for table, row in enumerate(embedded_keys(t, s, e, c.size, walk)):
@@ -184,20 +203,20 @@ class Matcher:
             window, item = np.divmod(np.unique(np.concatenate(pairs)), len(self.items))
             for i in np.unique(item):
                 own = window[item == i]
-                far = nearest_stretch(self.items[i], t, s[own], at)
+                far, stop = nearest_stretch(self.items[i], t, s[own], at)
                 text = np.searchsorted(at, s[own], "right") - 1
-                for d, place, doc in zip(far.tolist(), (s[own] - at[text]).tolist(), text.tolist(), strict=True):
+                for d, place, doc in zip(far.tolist(), (stop - at[text]).tolist(), text.tolist(), strict=True):
                     if d <= edits(len(self.items[i])):
                         key = doc, int(i)
                         best[key] = min(best.get(key, (d, place)), (d, place))
         return sorted((doc, i, d, place) for (doc, i), (d, place) in best.items())
 
 
-def nearest_stretch(item: np.ndarray, t: np.ndarray, start: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The least word edit distance between the item and any stretch of the words around each start (`at`: where texts begin)."""
+def nearest_stretch(item: np.ndarray, t: np.ndarray, start: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least word edit distance between the item and any stretch of the words around each start (`at`: where texts begin), and where the first such stretch ends."""
     slack, n = edits(len(item)), len(item)
     text = np.searchsorted(at, start, "right") - 1
-    out = np.empty(len(start), np.int64)
+    out, stop = np.empty(len(start), np.int64), np.empty(len(start), np.int64)
     for first in range(0, len(start), 4096):
         rows = slice(first, first + 4096)
         place = start[rows, None] - slack + np.arange(n + 2 * slack + 1)
@@ -211,7 +230,8 @@ def nearest_stretch(item: np.ndarray, t: np.ndarray, start: np.ndarray, at: np.n
             following[:, 1:] = np.minimum(d[:, 1:] + 1, d[:, :-1] + (word != w))
             d = np.minimum.accumulate(following - ramp, axis=1) + ramp
         out[rows] = d.min(1)
-    return out
+        stop[rows] = start[rows] - slack + d.argmin(1)
+    return out, stop
 
 
 def matchers(benchmark: DataFrame) -> Iterator[Matcher]:
@@ -231,15 +251,15 @@ def matchers(benchmark: DataFrame) -> Iterator[Matcher]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, distance, words, position): every benchmark item found in a document, with the least distance seen.
+    """(doc_id, item_id, distance, words, ends): every benchmark item found in a document, with the least distance seen.
 
-    `words` is the item's length and `position` the word of the document at which the nearest window starts. Null or
+    `words` is the item's length and `ends` the document's words up to the end of the nearest stretch. Null or
     empty texts hold nothing; repeated documents give repeated rows; a null id is kept. A document or a table without
     finds gives no rows. Other columns are ignored. Every item is held against all whole texts, in blocks of items.
     """
     out = None
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int, words int, position long"
+    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int, words int, ends long"
     for matcher in matchers(benchmark):
 
         def search(batches: Iterator[pa.RecordBatch], matcher: Matcher = matcher) -> Iterator[pa.RecordBatch]:
@@ -256,7 +276,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                                 pa.array([len(matcher.items[i]) for i in item], pa.int32()),
                                 pa.array(place, pa.int64()),
                             ],
-                            names=["doc_id", "item_id", "distance", "words", "position"],
+                            names=["doc_id", "item_id", "distance", "words", "ends"],
                         )
 
         part = docs.select("doc_id", lowered(F.col("text")).alias("lowered")).mapInArrow(search, schema)
