@@ -21,22 +21,25 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import TILE, mixed, runs, stored, utf8
 
 LENGTH = 400
-GRAM = 16
+#: Long enough that texts rarely share a k-gram by chance; a power of two.
+GRAM = 64
 SEPARATOR = 0xFF
 #: Different blocks of one k-gram in a suffix array; more are split, and their windows compared across arrays by fingerprint.
 SHARD = 1_024
 #: Bytes of a suffix array, on average.
 BUCKET = 2 << 20
+#: Windows of split k-grams in a range of fingerprints, on average.
+RANGE = 1 << 20
 _LOW = np.uint64((1 << 21) - 1)
 
 
 def _least_grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every window its least k-gram's place (the first of equals), and the hashes of all k-grams."""
     h = data.astype(np.uint64) + np.uint64(1)
-    width = 1
-    for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5):
+    width, factor = 1, 0x9E3779B97F4A7C15
+    while width < GRAM:
         h = h[:-width] * np.uint64(factor) + h[width:]
-        width *= 2
+        width, factor = 2 * width, factor * factor % (1 << 64)
     h = mixed(h)
     least = (h & ~_LOW) | np.arange(len(h), dtype=np.uint64)
     span, want = 1, LENGTH - GRAM + 1
@@ -234,7 +237,7 @@ def shared_windows(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _sorted_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Runs (first, last) of windows of a block that are equal to others here; for split k-grams also one window of each class with its fingerprint."""
+    """Runs (first, last) of windows of a block that are equal to others here; for split k-grams also one window of each class, packed by range of its fingerprint."""
     t, owner, inside, repeated, classes = shared_windows(list(pdf.block))
     gram, content, split = pdf.gram.to_numpy(), pdf.content.to_numpy(), (pdf.different > SHARD).to_numpy()
     by_place = np.lexsort((inside, owner))
@@ -242,15 +245,38 @@ def _sorted_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     o, s = owner[hit], inside[hit]
     edge = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1))) if len(hit) else np.zeros(0, np.int64)
     last = np.append(edge[1:], len(hit)) - 1 if len(hit) else edge
-    out = [pd.DataFrame({"gram": gram[o[edge]], "content": content[o[edge]], "first": s[edge], "last": s[last]})]
-    if split.any():
-        one = np.flatnonzero(np.append(True, classes[1:] != classes[:-1])) if len(classes) else np.zeros(0, np.int64)
-        one = one[split[owner[one]]]
-        size = pdf.block.map(len).to_numpy()
-        at = (np.cumsum(size + 1) - size - 1)[owner[one]] + inside[one]
-        prints = [mixed((total[at + LENGTH] - total[at]) * inverse[at]).view(np.int64) for total, inverse in (_prefix_hash(t, 0x9E3779B97F4A7C15), _prefix_hash(t, 0xD6E8FEB86659FD93))]
-        out.append(pd.DataFrame({"gram": gram[owner[one]], "content": content[owner[one]], "first": inside[one], "last": inside[one], "w1": prints[0], "w2": prints[1], "alone": ~repeated[one]}))
-    return pd.concat(out).reindex(columns=["gram", "content", "first", "last", "w1", "w2", "alone"]).astype({"w1": "Int64", "w2": "Int64", "alone": "boolean"})
+    # Nullable types: as floats, hashes would lose digits.
+    out = pd.DataFrame({"gram": gram[o[edge]], "content": content[o[edge]], "first": s[edge], "last": s[last]}).astype("Int64")
+    columns = [*out.columns, "range", "windows"]
+    if not split.any() or not len(classes):
+        return out.reindex(columns=columns).astype({"range": "Int64", "windows": object})
+    one = np.flatnonzero(np.append(True, classes[1:] != classes[:-1]))
+    one = one[split[owner[one]]]
+    size = pdf.block.map(len).to_numpy()
+    at = (np.cumsum(size + 1) - size - 1)[owner[one]] + inside[one]
+    prints = [mixed((total[at + LENGTH] - total[at]) * inverse[at]) for total, inverse in (_prefix_hash(t, 0x9E3779B97F4A7C15), _prefix_hash(t, 0xD6E8FEB86659FD93))]
+    table = np.stack([prints[0].view(np.int64), prints[1].view(np.int64), gram[owner[one]], content[owner[one]], inside[one], ~repeated[one]])
+    ranges = (prints[0] >> np.uint64(32)) * np.uint64(pdf.ranges.iloc[0]) >> np.uint64(32)
+    parts = [(int(r), np.ascontiguousarray(table[:, ranges == r]).tobytes()) for r in np.unique(ranges)]
+    n = len(out)
+    return pd.DataFrame(
+        {c: pd.array([*out[c], *[pd.NA] * len(parts)], "Int64") for c in out.columns}
+        | {"range": pd.array([*[pd.NA] * n, *[r for r, _ in parts]], "Int64"), "windows": [*[None] * n, *[w for _, w in parts]]}
+    )
+
+
+def _across(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Runs of the windows that have no equal in their own array and have one in another; equal windows meet by range of fingerprint."""
+    w1, w2, gram, content, start, alone = np.concatenate([np.frombuffer(x, np.int64).reshape(6, -1) for x in pdf.windows], axis=1)
+    order = np.lexsort((w2, w1))
+    new = np.append(True, (w1[order][1:] != w1[order][:-1]) | (w2[order][1:] != w2[order][:-1]))
+    group = np.cumsum(new) - 1
+    hit = order[(np.bincount(group)[group] > 1) & (alone[order] == 1)]
+    hit = hit[np.lexsort((start[hit], content[hit], gram[hit]))]
+    g, c, s = gram[hit], content[hit], start[hit]
+    edge = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (s[1:] != s[:-1] + 1))) if len(hit) else np.zeros(0, np.int64)
+    last = np.append(edge[1:], len(hit)) - 1 if len(hit) else edge
+    return pd.DataFrame({"gram": g[edge], "content": c[edge], "first": s[edge], "last": s[last]})
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
@@ -261,23 +287,22 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     kinds = stored(places.groupBy(*own).agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "size")).alias("one")), "block-kinds")
     mixed_grams = kinds.groupBy("gram").agg(F.count("*").alias("different")).where("different > 1")
     compared = stored(kinds.join(mixed_grams, "gram").select(*own, "different", "one.*"), "compared-blocks")
-    total = compared.agg(F.sum("size")).first()[0] or 0
+    sums = compared.agg(F.sum("size"), F.sum(F.when(F.col("different") > SHARD, F.col("size") - LENGTH + 1))).first()
+    total, windows = (x or 0 for x in sums)
     wanted = compared.groupBy("k1", "k2").agg(F.collect_list(F.struct(*own, "different", "start", "size")).alias("parts"))
     # Rows that repeat an id and its text are one text here.
     one_text = keyed.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
     cut = one_text.select(F.col("text").cast("binary").alias("bytes"), F.explode("parts").alias("x"))
     blocks = cut.select("x.gram", "x.content", "x.different", F.substring("bytes", F.col("x.start").cast("int") + 1, F.col("x.size")).alias("block"))
     shard = F.pmod(F.col("content"), F.ceil(F.col("different") / SHARD))
-    buckets = max(1, math.ceil(total / BUCKET))
-    dealt = blocks.withColumn("bucket", F.pmod(F.xxhash64("gram", shard), F.lit(buckets)))
-    schema = "gram long, content long, first long, last long, w1 long, w2 long, alone boolean"
-    found = stored(dealt.groupBy("bucket").applyInPandas(_sorted_bucket, schema), "shared-windows")
-    across = found.where("w1 is not null")
-    twice = across.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
-    late = across.where("alone").join(twice, ["w1", "w2"]).select(*own, "first", "last")
-    known = found.where("w1 is null").select(*own, "first", "last").unionAll(late)
+    buckets, ranges = max(1, math.ceil(total / BUCKET)), max(1, math.ceil(windows / RANGE))
+    dealt = blocks.withColumn("bucket", F.pmod(F.xxhash64("gram", shard), F.lit(buckets))).withColumn("ranges", F.lit(ranges))
+    runs_of = "gram long, content long, first long, last long"
+    found = stored(dealt.groupBy("bucket").applyInPandas(_sorted_bucket, f"{runs_of}, range long, windows binary"), "shared-windows")
+    late = found.where("range is not null").select("range", "windows").groupBy("range").applyInPandas(_across, runs_of)
+    known = found.where("range is null").select(*own, "first", "last").unionAll(late)
     whole = kinds.where("n > 1").select(*own, F.lit(0).cast("long").alias("first"), (F.col("one.size") - LENGTH).cast("long").alias("last"))
-    of_kind = known.join(whole.select(*own), own, "left_anti").unionAll(whole).groupBy(*own).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    of_kind = known.unionAll(whole).groupBy(*own).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     hit = places.join(of_kind, own).select("k1", "k2", "start", F.explode("runs").alias("r"))
     return hit.select("k1", "k2", (F.col("start") + F.col("r.first")).alias("start"), (F.col("start") + F.col("r.last") + LENGTH).alias("end"))
 
