@@ -52,14 +52,17 @@ class Model:
 
 
 def features(data: np.ndarray, offsets: np.ndarray, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Buckets of words, then of each length of n-grams, with a mark of the valid ones and where each text's begin.
+    """Buckets of words, then of word pairs and of each length of n-grams, with a mark of the valid ones and where each text's begin.
 
-    An n-gram may begin or end with the white space around a word, and has none inside.
+    All pairs of one word with itself share a bucket, and all other pairs another. An n-gram may begin or end with the white space around a word, and has none inside.
     """
     data = data if settings.cased else lower_ascii(data)
-    starts, ends, _ = words(data, offsets)
+    starts, ends, owner = words(data, offsets)
     index = (word_hashes(data, starts, ends) % np.uint64(BUCKETS)).astype(np.int64)
-    yield index, np.ones(len(index), bool), np.searchsorted(starts, offsets)
+    first = np.searchsorted(starts, offsets)
+    yield index, np.ones(len(index), bool), first
+    paired = np.append(False, owner[1:] == owner[:-1])[: len(index)]
+    yield np.where(np.append(False, index[1:] == index[:-1])[: len(index)], 0, 1), paired, first
     change = np.zeros(len(data) + 1, np.int8)
     change[starts] += 1
     change[ends] -= 1
