@@ -254,6 +254,29 @@ def test_edited_leaks_are_found(spark, small):
     assert hits >= 190
 
 
+def test_long_edited_leaks_are_found():
+    """As many random edits as the threshold allows, at any place of a text, in items longer than walks can follow."""
+    rng = np.random.default_rng(4)
+    noise = lambda n: rng.integers(2, 1 << 62, n, dtype=np.uint64)
+    items = [noise(n) for n in (200, 210, 400, 410, 800, 900)]
+    matcher = decontam.Matcher(list(range(len(items))), items)
+    for i in range(60):
+        k = i % len(items)
+        parts = [noise(int(rng.integers(0, 50))), decontam._spoiled(items[k], decontam.edits(len(items[k])), rng), noise(int(rng.integers(0, 50)))]
+        text = np.concatenate([noise(30), *parts])
+        found = {x[1]: x[2] for x in matcher.find(text, np.array([0, 30, len(text)]))}
+        assert list(found) == [k] and found[k] <= decontam.edits(len(items[k]))
+
+
+def test_calibration_spreads_over_the_class(monkeypatch):
+    """More members than trials: the longest are simulated too."""
+    seen, spoiled = set(), decontam._spoiled
+    monkeypatch.setattr(decontam, "_spoiled", lambda item, n, rng: seen.add(len(item)) or spoiled(item, n, rng))
+    rng = np.random.default_rng(6)
+    decontam.Matcher(list(range(400)), [rng.integers(2, 1 << 62, 100 + i // 40, dtype=np.uint64) for i in range(400)])
+    assert seen == set(range(100, 110))
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op1_toxicity", "toxic", 0.9), ("op9_quality", "quality", 0.9)])
 def test_held_out_labels(spark, name, label, least):
     folder = "/root/testdata/sf0.01"
