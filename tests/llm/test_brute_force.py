@@ -268,6 +268,17 @@ def test_long_edited_leaks_are_found():
         assert list(found) == [k] and found[k] <= decontam.edits(len(items[k]))
 
 
+def test_items_of_few_words_are_found(spark):
+    """Items of one to four words, as exact runs that no text's end parts."""
+    texts = ["so gamma it is", "Alpha, beta! Gamma delta.", "alpha beta", "gamma delta", "alpha beta gamma x delta", "nothing here", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    items = spark.createDataFrame([("a", "gamma"), ("b", "alpha beta"), ("c", "beta gamma delta"), ("d", "alpha beta gamma delta"), ("e", "?!")], "item_id string, text string")
+    got = {(r.doc_id, r.item_id, r.distance, r.words, r.ends) for r in decontam.leaks(docs, items).collect()}
+    want = {(0, "a", 0, 1, 2), (1, "a", 0, 1, 3), (3, "a", 0, 1, 1), (4, "a", 0, 1, 3), (1, "b", 0, 2, 2), (2, "b", 0, 2, 2), (4, "b", 0, 2, 2), (1, "c", 0, 3, 4), (1, "d", 0, 4, 4)}
+    assert got == want
+    assert sorted(r.doc_id for r in decontam.decontaminated(docs, items).collect()) == [5, 6]
+
+
 def test_calibration_spreads_over_the_class(monkeypatch):
     """More members than trials: the longest are simulated too."""
     seen, spoiled = set(), decontam._spoiled

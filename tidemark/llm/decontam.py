@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import mixed, texts, word_hashes, words
 
 SIMILARITY = 0.8
-#: Items of fewer words take no part.
-MIN_WORDS = 5
 TARGET_RECALL = 0.98
+SEED = 11
 #: Words that a table samples from an embedding, tables that share a walk, and walks at most; a class that needs more is searched by pieces.
 SAMPLES = 3
 TABLES_OF_WALK = 4
@@ -123,11 +122,14 @@ def grams(t: np.ndarray, n: int) -> np.ndarray:
     return mixed(h)
 
 
-def _made_class(items: list[np.ndarray], members: list[int], seed: int = 11) -> Class:
+def _made_class(items: list[np.ndarray], members: list[int]) -> Class:
     sizes = [len(items[i]) for i in members]
     size, longest = min(sizes), max(sizes)
-    walks = _walks(size, seed)
-    rng = np.random.default_rng((seed, size, 1))
+    seed = min(n // (edits(n) + 1) for n in sizes)
+    if edits(longest) == 0:
+        return _exact_class(items, members, seed)
+    walks = _walks(size, SEED)
+    rng = np.random.default_rng((SEED, size, 1))
     caught = np.zeros(TRIALS, bool)
     used = 0
     leaks = []
@@ -140,7 +142,6 @@ def _made_class(items: list[np.ndarray], members: list[int], seed: int = 11) ->
         a, b = (embedded_keys(flat[k], begin[k][:-1], begin[k][1:], size, walks[used]) for k in (0, 1))
         caught |= (a == b).any(0)
         used += 1
-    seed = min(n // (edits(n) + 1) for n in sizes)
     if caught.mean() < TARGET_RECALL:
         return _exact_class(items, members, seed)
     t = np.concatenate([items[i] for i in members])
@@ -281,7 +282,7 @@ def nearest_stretch(item: np.ndarray, t: np.ndarray, start: np.ndarray, at: np.n
 
 
 def matchers(benchmark: DataFrame) -> Iterator[Matcher]:
-    """The items in blocks of about ITEMS rows; null ids or texts, repeated rows, and items of fewer than five words take no part."""
+    """The items in blocks of about ITEMS rows; null ids or texts, repeated rows, and items without words take no part; one of up to four words allows no edit."""
     sound = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", lowered(F.col("text")).alias("text")).distinct()
     blocks = math.ceil(sound.count() / ITEMS)
     for block in range(blocks):
@@ -290,7 +291,7 @@ def matchers(benchmark: DataFrame) -> Iterator[Matcher]:
         for first, _last, data, offsets in texts(rows.column("text")):
             t, at = tokens(data, offsets)
             for i in range(len(offsets) - 1):
-                if at[i + 1] - at[i] >= MIN_WORDS:
+                if at[i + 1] > at[i]:
                     ids.append(rows.column("item_id")[first + i].as_py())
                     items.append(t[at[i] : at[i + 1]])
         yield Matcher(ids, items)
