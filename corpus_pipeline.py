@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group; documents without an id stay."""
+    """The row of the smallest id of each group; a null id counts as the largest."""
     return simhash.deduplicated(docs)
 
 

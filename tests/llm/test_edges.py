@@ -121,6 +121,19 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     assert sorted(r.doc_id for r in simhash.deduplicated(docs).collect()) == [2, 9]
 
 
+def test_near_duplicate_stage_decides_by_row(spark):
+    """Ids repeated with other texts, groups without an id, and equal rows, in any order."""
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(80)) for k in "abcd")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (None, a, "x"), (None, c, "y"), (None, c, "x"), (None, c, "x"), (3, d, None), (3, d, "z"), (3, d, "z"), (None, None, "x"), (None, "", "x")]
+    kept = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string")
+        kept.append(sorted(map(str, simhash.deduplicated(docs).collect())))
+    assert kept[0] == kept[1] and len(kept[0]) == 5
+    got = simhash.deduplicated(docs).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got if r.text) == [("1", a), ("2", b), ("3", d), ("None", c)]
+
+
 def test_masking_keeps_the_rest(spark):
     key = "AKIA" + "ABCDEFGH12345678"
     docs = spark.createDataFrame([(1, f"é before {key} after", 5), (2, "clean", 5), (3, 'token = "abcdefgh12"', None)], "doc_id int, text string, n_chars int")

@@ -247,11 +247,15 @@ def _dealt_cells(probes: DataFrame) -> DataFrame:
     return spread.select(F.when(F.col("parts") == 1, whole).otherwise(F.xxhash64("i", "value", low, high)).alias("cell"), "fp")
 
 
+def _placed(own: DataFrame, fingerprints: DataFrame) -> DataFrame:
+    """`own`, a row for each fingerprint, with `root`: the least fingerprint that is reachable over links."""
+    roots = components(links(fingerprints))
+    return own.join(roots.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def groups(fingerprinted: DataFrame) -> DataFrame:
     """(fp, component_id): the smallest doc_id that is reachable from each fingerprint over links; ids that are null don't count."""
-    own = fingerprinted.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(fingerprinted))
-    placed = own.join(roots.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = _placed(fingerprinted.groupBy("fp").agg(F.min("doc_id").alias("least")), fingerprinted)
     of_root = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     return placed.join(of_root, "root").select("fp", "component_id")
 
@@ -272,7 +276,15 @@ def _hex(fp: Column) -> Column:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one of the smallest id; of rows that repeat its id, one. Rows without an id stay."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionAll(docs.where(F.col("doc_id").isNull()))
+    """One row of each group: the one of the smallest id, a null id last, and of rows that share the id the one of the smallest hash.
+
+    Groups are of rows: an id that is repeated with other texts is in the group of each of its texts.
+    """
+    nulls = F.concat(*[F.col(c).isNull().cast("string") for c in docs.columns])
+    named = docs.select("*", *[F.xxhash64(F.lit(i), nulls, *docs.columns).alias(f"row{i}__") for i in range(2)])
+    keys = ["row0__", "row1__"]
+    fingerprinted = stored(with_fingerprint(named.select("doc_id", "text", *keys)).select("doc_id", *keys, "fp"), "simhash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *keys)).alias("first")
+    kept = _placed(fingerprinted.groupBy("fp").agg(first), fingerprinted).groupBy("root").agg(F.min("first").alias("first"))
+    # Equal rows are reduced first, in every input task, so that no task of the join meets all copies of one.
+    return named.dropDuplicates(keys).join(kept.select("first.*").select(*keys), keys, "left_semi").select(*docs.columns)
