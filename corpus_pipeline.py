@@ -16,7 +16,7 @@ from tidemark.llm.queries import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: No stage but the last could be said in SQL; the tests hold run() against the stages' own brute-force forms.
+#: No stage but the last could be said in SQL; the test holds the ids that run() leaves against the stages' own results, and lets 5 % of them be missing.
 ORACLE_SQL: str | None = None
 
 
