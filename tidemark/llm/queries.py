@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontam, katz, langid, mixing, secrets, simhash, subword, suffixes, toxicity
+from tidemark.llm import ann, codes, collocations, decontam, katz, langid, mixing, packing, secrets, simhash, subword, suffixes, toxicity, twins
 from tidemark.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_vector_codes": twins.VECTOR_CODES, "op12_collocations": twins.COLLOCATIONS}
+#: The tokenizer of the packed sequences; any file of the `tokenizers` library will do.
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -71,3 +74,18 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
