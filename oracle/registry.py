@@ -1016,4 +1016,4 @@ register(
      count(*) filter (health_factor < 0 or health_factor > 1000) > 0 inconsistent from core_positions""",
 )
 
-from oracle import stored  # noqa: E402, F401  adds its own queries
+from oracle import signals, stored  # noqa: E402, F401  they add their own queries

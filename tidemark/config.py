@@ -37,6 +37,8 @@ class Settings:
     whale_window_days: int = 30
     whale_movement_min_usd: int = 10_000
     rapid_decline: float = 0.2
+    bot_day_count: int = 100
+    bot_hours: int = 20
     chain: str = "base"
     confirmation_depth: int = 6
     default_start_date: str = "2024-01-01"

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import DAY_MS
+from tidemark.config import DAY_MS, HOUR_MS
 
 
 def with_history(
@@ -85,3 +85,20 @@ def keep_spaced(df: DataFrame, keys: list[str], millis: str, spacing: str, tie_b
 
     ordered = df.repartition(*keys).sortWithinPartitions(*keys, millis, *tie_break)
     return ordered.mapInArrow(fold, df.schema)
+
+
+def running(df: DataFrame, keys: list[str], at: str, sums: list[str], bucket_ms: int = HOUR_MS) -> DataFrame:
+    """`df` with each column of `sums` replaced by its total over the key's rows up to the row's own time, equal times included.
+
+    `at` is in epoch milliseconds. A task holds one bucket of a key; what lies before a bucket comes from one row of
+    partial sums for each earlier bucket, so a key's longest window is its number of buckets.
+    """
+    rows = df.withColumn("_bucket", F.floor(F.col(at) / F.lit(bucket_ms)))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    partial = rows.groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(f"_{c}") for c in sums])
+    before = partial.select(*keys, "_bucket", *[F.sum(f"_{c}").over(earlier).alias(f"_before_{c}") for c in sums])
+    upto = rows.withColumns({c: F.sum(c).over(inside) for c in sums})
+    whole = upto.join(before, [*keys, "_bucket"])
+    totals = {c: F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"_before_{c}"), F.lit(0)) for c in sums}
+    return whole.withColumns(totals).select(*df.columns)
