@@ -1,16 +1,22 @@
 """Collocations: phrases of two and three words that occur more often than their parts let expect.
 
-Only runs of three words are counted from texts, with open ends at the end of a piece; counts of words and pairs are sums
-over them. What occurs often enough is kept as two streams over the same counts. In suffix order (last word first) a
-phrase follows its last word and its last two words; in prefix order it follows its first word and its first two. One
-pass over each sorted stream therefore hands every phrase the counts of its parts, and every pair its most frequent
-extension, with two numbers carried along: nothing is looked up. Streams are cut by range, so a frequent word may span
-any number of tasks; the few rows at the head of a task, whose parts went to the task before, are completed afterwards.
+Texts are read twice. The first pass counts 64-bit hashes of words and pairs; a bit for each frequent hash, in a table of
+bounded size, then tells the second pass which words, pairs and runs of two such pairs can be frequent at all, and only
+these are counted, as strings and exactly. The bits leave out nothing frequent, and what they let by in error goes by its
+exact count; a table too small for a corpus makes the second pass count more, not otherwise.
+
+What occurs often enough is kept as two streams over the same counts. In suffix order (last word first) a phrase follows
+its last word and its last two words; in prefix order it follows its first word and its first two. One pass over each
+sorted stream therefore hands every phrase the counts of its parts, and every pair its most frequent extension, with two
+numbers carried along: nothing is looked up. Streams are cut by range, so a frequent word may span any number of tasks;
+the few rows at the head of a task, whose parts went to the task before, are completed afterwards.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +24,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import TILE, lower_ascii, stored, utf8
+from tidemark.llm.common import TILE, lower_ascii, mixed, stored, utf8, word_hashes
 
 LEAST, TOP, SHARE, SCALE = 10, 2_000, 50, 1_000_000
 #: Bytes of texts that a task counts together, before counts go to the shuffle.
-BLOCK = 8 * TILE
+BLOCK = 4 * TILE
+#: Bits for each frequent hash, and the bounds of the table of bits (32 MiB at most).
+BITS_EACH, FEWEST_BITS, MOST_BITS = 16, 1 << 15, 1 << 28
+#: Bits of one row of the table, which is what Spark's bitmap aggregate builds.
+_ROW_BITS = 1 << 15
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?\n\x0b\x0c\r"]] = True
@@ -30,97 +40,153 @@ _GAP = _BREAK.copy()
 _GAP[[9, 32]] = True
 
 
-def _blocks(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
-    """(value of each part, bytes, offsets, whether words behind the last byte are left out) of at most `size` bytes.
+@dataclass
+class _Words:
+    """Word i has the number `number[i]` (from 1) in `names`, stands in value `value[i]` and is followed in its piece if `linked[i]`.
 
-    A longer value comes in parts of its own that overlap by the words a run may need.
+    Phrases begin at the first `keep` words; the others only follow. `following`: the byte at which the next part of the text begins.
     """
-    first, n = 0, len(offsets) - 1
-    while first < n:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
-        own = offsets[first : last + 1] - offsets[first]
-        yield np.arange(first, last), data[offsets[first] : offsets[last]], own, last == first + 1 and own[-1] > size
-        first = last
 
+    names: pa.Array
+    number: np.ndarray
+    linked: np.ndarray
+    value: np.ndarray
+    keep: int
+    following: int
 
-def _runs(data: np.ndarray, offsets: np.ndarray, cut: bool) -> tuple[pa.Array, np.ndarray, np.ndarray, int]:
-    """Words, three word numbers from 1 (0: none) and the value of each run, and where the next part of a cut text begins (-1: nowhere)."""
+
+def _words(data: np.ndarray, offsets: np.ndarray, cut: bool) -> _Words | None:
+    """The words of values; None where a `cut` text, which goes on behind its last byte, has too few to go on from."""
     solid, edge = ~_GAP[data], np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     begin, finish = solid.copy(), solid.copy()
     begin[1:] &= ~solid[:-1] | edge[1:-1]
     finish[:-1] &= ~solid[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(finish) + 1
-    value, following = np.searchsorted(offsets, starts, "right") - 1, -1
+    following = -1
     if cut:  # the last word may go on, and the two before it lack their followers
         if len(starts) < 4:
-            return None, None, None, 0
-        starts, ends, value, following = starts[:-1], ends[:-1], value[:-1], int(starts[-3])
-    lengths = ends - starts
+            return None
+        starts, ends, following = starts[:-1], ends[:-1], int(starts[-3])
+    value = np.searchsorted(offsets, starts, "right") - 1
     data = lower_ascii(data[: ends[-1] if len(ends) else 0])
-    kept = solid[: len(data)]
     ends_in = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(lengths, out=ends_in[1:])
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends_in), pa.py_buffer(data[kept])).dictionary_encode()
-    number = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    breaks = np.cumsum(_BREAK[data])[starts] if len(starts) else starts
-    linked = np.zeros(len(starts) + 2, bool)
-    linked[: max(len(starts) - 1, 0)] = (value[1:] == value[:-1]) & (breaks[1:] == breaks[:-1])
-    ahead = np.concatenate([number, [0, 0]])
-    runs = np.zeros((3, len(starts)), np.int64)
-    runs[0] = number
-    runs[1] = np.where(linked[: len(starts)], ahead[1 : len(starts) + 1], 0)
-    runs[2] = np.where(linked[: len(starts)] & linked[1 : len(starts) + 1], ahead[2 : len(starts) + 2], 0)
-    keep = len(starts) - 2 if cut else len(starts)
-    return words.dictionary, runs[:, :keep], value[:keep], following
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, w1, w2, w3, n) of blocks of (lang, text)."""
+    np.cumsum(ends - starts, out=ends_in[1:])
+    names = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends_in), pa.py_buffer(data[solid[: len(data)]])).dictionary_encode()
+    number = names.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    breaks = np.cumsum(_BREAK[data], dtype=np.int64)[starts] if len(starts) else starts
+    linked = np.zeros(len(starts), bool)
+    linked[:-1] = (value[1:] == value[:-1]) & (breaks[1:] == breaks[:-1])
+    return _Words(names.dictionary, number, linked, value, len(starts) - 2 if cut else len(starts), following)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, _Words]]:
+    """(languages, language of each word, words) of blocks of (lang, text); a text longer than a block comes in overlapping parts."""
     for batch in batches:
         langs = batch.column(0).dictionary_encode()
-        lang = langs.indices.to_numpy(zero_copy_only=False)
+        lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         data, offsets = utf8(batch.column(1))
-        for values, block, own, cut in _blocks(data, offsets, BLOCK):
-            at, size = 0, BLOCK
-            while True:
-                part = block[at : at + size] if cut else block
-                going_on = cut and at + size < len(block)
-                words, runs, value, following = _runs(part, np.array([0, len(part)]) if cut else own, going_on)
-                if going_on and following <= 0:
+        first, n = 0, len(offsets) - 1
+        while first < n:
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK, "right")) - 1)
+            block, own = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+            at, size, single = 0, BLOCK, last == first + 1
+            while at < len(block):
+                going_on = single and at + size < len(block)
+                part = block[at : at + size] if single else block
+                words = _words(part, np.array([0, len(part)]) if single else own, going_on)
+                if words is None:
                     size *= 2
                     continue
-                yield from _tallied(langs.dictionary, lang[values], words, runs, value)
-                if not going_on:
-                    break
-                at, size = at + following, BLOCK
-
-
-def _tallied(langs: pa.Array, lang: np.ndarray, words: pa.Array, runs: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if not runs.shape[1]:
-        return
-    base = len(words) + 1
-    pair, of_pair = np.unique((lang[value].astype(np.int64) * base + runs[0]) * base + runs[1], return_inverse=True)
-    keys, n = np.unique(of_pair * base + runs[2], return_counts=True)
-    first, third = pair[keys // base], keys % base
-    empty = pa.array([""], words.type)
-    text = pa.concat_arrays([empty, words])
-    take = lambda of, at: pc.cast(of.take(pa.array(at)), pa.string())
-    columns = [take(langs, first // base // base), take(text, first // base % base), take(text, first % base), take(text, third), pa.array(n, pa.int64())]
-    for at in range(0, len(n), 1 << 16):
-        yield pa.RecordBatch.from_arrays([c.slice(at, 1 << 16) for c in columns], ["lang", "w1", "w2", "w3", "n"])
+                yield langs.dictionary, lang[first + words.value], words
+                at, size = at + words.following if going_on else len(block), BLOCK
+            first = last
+
+
+def _hashed(langs: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of languages, and of words by number (0 stands for none)."""
+    by_lang = [int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little") for name in langs.to_pylist()]
+    data, offsets = utf8(words)
+    return np.array(by_lang, np.uint64), np.concatenate([np.zeros(1, np.uint64), word_hashes(data, offsets[:-1], offsets[1:])])
+
+
+def _hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, n) of the words and pairs of blocks."""
+    for langs, lang, words in _parts(batches):
+        base, keep = len(words.names) + 1, words.keep
+        by_lang, by_word = _hashed(langs, words.names)
+        one, n1 = np.unique((lang * base + words.number)[:keep], return_counts=True)
+        pair = np.flatnonzero(words.linked[:keep])
+        two, n2 = np.unique((lang[pair] * base + words.number[pair]) * base + words.number[pair + 1], return_counts=True)
+        h = np.concatenate([_one(by_lang, by_word, one, base), _two(by_lang, by_word, two, base)]).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.concatenate([n1, n2]), pa.int64())], ["h", "n"])
+
+
+def _one(by_lang: np.ndarray, by_word: np.ndarray, keys: np.ndarray, base: int) -> np.ndarray:
+    return mixed(by_lang[keys // base] ^ by_word[keys % base])
+
+
+def _two(by_lang: np.ndarray, by_word: np.ndarray, keys: np.ndarray, base: int) -> np.ndarray:
+    return mixed(_one(by_lang, by_word, keys // base, base) * np.uint64(0x9E3779B97F4A7C15) + by_word[keys % base])
+
+
+def _counted(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(lang, w1, w2, w3, n) of the words, pairs and runs of two pairs that the bits let by, and of no word: all words of a language."""
+    mask = np.uint64(len(bits) * 8 - 1)
+
+    def frequent(h: np.ndarray) -> np.ndarray:
+        at = h & mask
+        return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    for langs, lang, words in _parts(batches):
+        base, keep, number = len(words.names) + 1, words.keep, words.number
+        by_lang, by_word = _hashed(langs, words.names)
+        one, n1 = np.unique((lang * base + number)[:keep], return_counts=True)
+        let = frequent(_one(by_lang, by_word, one, base))
+        all_words = np.bincount(lang[:keep], minlength=len(langs))
+        pair = np.flatnonzero(words.linked)
+        two, of = np.unique((lang[pair] * base + number[pair]) * base + number[pair + 1], return_inverse=True)
+        good = frequent(_two(by_lang, by_word, two, base))
+        n2 = np.bincount(of[pair < keep], minlength=len(two))
+        at_word = np.full(len(number) + 1, -1, np.int64)
+        at_word[pair[good[of]]] = of[good[of]]
+        run = np.flatnonzero((at_word[:keep] >= 0) & (at_word[1 : keep + 1] >= 0))
+        three, n3 = np.unique(at_word[run] * base + number[run + 2], return_counts=True)
+        two_of_three = two[three // base]
+        good &= n2 > 0
+        none = np.zeros(0, np.int64)
+        keys = [(np.arange(len(langs)), none, none, none, all_words), (one[let] // base, one[let] % base, none, none, n1[let])]
+        keys += [(two[good] // base // base, two[good] // base % base, two[good] % base, none, n2[good])]
+        keys += [(two_of_three // base // base, two_of_three // base % base, two_of_three % base, three % base, n3)]
+        texts = pa.concat_arrays([pa.array([""], words.names.type), words.names])
+        for own, w1, w2, w3, n in keys:
+            columns = [pc.cast(langs.take(pa.array(own)), pa.string())]
+            columns += [pc.cast(texts.take(pa.array(np.pad(w, (0, len(n) - len(w))))), pa.string()) for w in (w1, w2, w3)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], ["lang", "w1", "w2", "w3", "n"])
+
+
+def _bits(pieces: DataFrame, least: int) -> np.ndarray:
+    """A bit for each hash of a word or pair that occurs `least` times, as bytes; at most MOST_BITS."""
+    hashes = pieces.mapInArrow(_hash_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    hashes = stored(hashes.select("h"), "hashes")
+    size = 1 << (hashes.count() * BITS_EACH).bit_length()
+    size = min(max(size, FEWEST_BITS), MOST_BITS)
+    place = F.col("h").bitwiseAND(F.lit(size - 1))
+    rows = hashes.groupBy(F.shiftright(place, 15).cast("int").alias("row")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(_ROW_BITS - 1))).alias("bits"))
+    out = np.zeros((size // _ROW_BITS, _ROW_BITS // 8), np.uint8)
+    for r in rows.toLocalIterator():
+        out[r.row] = np.frombuffer(r.bits, np.uint8)
+    return out.reshape(-1)
 
 
 def counts(docs: DataFrame, least: int, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """((lang, w1, w2, w3, f) of all phrases of up to three words that occur `least` times, w2 and w3 empty for shorter ones; (lang, n) words in all)."""
     pieces = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text is not null")
-    blocks = pieces.mapInArrow(_counted, "lang string, w1 string, w2 string, w3 string, n long")
-    runs = stored(blocks.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("f")), "runs")
-    none, f = F.lit(""), F.sum("f").alias("f")
-    words = runs.groupBy("lang", "w1").agg(f).select("lang", "w1", none.alias("w2"), none.alias("w3"), "f")
-    pairs = runs.where("w2 <> ''").groupBy("lang", "w1", "w2").agg(f).select("lang", "w1", "w2", none.alias("w3"), "f")
-    phrases = words.unionAll(pairs).unionAll(runs.where("w3 <> ''")).where(F.col("f") >= least)
-    return stored(phrases, "phrases"), runs.groupBy("lang").agg(F.sum("f").alias("n"))
+    bits = docs.sparkSession.sparkContext.broadcast(_bits(pieces, least))
+    blocks = pieces.mapInArrow(lambda batches: _counted(batches, bits.value), "lang string, w1 string, w2 string, w3 string, n long")
+    whole = blocks.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("f"))
+    kept = stored(whole.where((F.col("w1") == "") | (F.col("f") >= least)), "phrases")
+    return kept.where("w1 <> ''"), kept.where("w1 = ''").select("lang", F.col("f").alias("n"))
 
 
 def _carried(batches: Iterator[pa.RecordBatch], keys: list[str], names: list[str]) -> Iterator[pa.RecordBatch]:
