@@ -822,13 +822,13 @@ def _flow_stream(s, d):
     transfers_stream = raw(s, d, "raw_transfers", stream="lineitem")
     out = _drained(s, lambda o, options: jobs.start_token_flow(transfers_stream, o, options))
     rows = sinks.read_upserts(s, out, ["chain", "token_address", "hour"], "updated_at")
-    return rows.drop("unique_senders_count", "unique_receivers_count", "updated_at")
+    return rows.drop("senders", "receivers", "updated_at")
 
 
 register(
     "stream_token_flow",
     _flow_stream,
-    "select * exclude (unique_senders_count, unique_receivers_count, updated_at) from (" + ENTRIES["token_flow_hourly"].body + ")",
+    "select * exclude (updated_at) from (" + ENTRIES["token_flow_hourly"].body + ")",
     ("avg_transfer_size",),
 )
 
@@ -1016,4 +1016,4 @@ register(
      count(*) filter (health_factor < 0 or health_factor > 1000) > 0 inconsistent from core_positions""",
 )
 
-from oracle import signals, stored  # noqa: E402, F401  they add their own queries
+from oracle import flowing, signals, stored  # noqa: E402, F401  they add their own queries

@@ -131,3 +131,84 @@ def _retained(s: SparkSession, d: str) -> DataFrame:
 
 
 register("retained_netflow", _retained, f"select * exclude (dbt_updated_at) from netflow where event_date >= {TODAY} - 30", FLOW_SUMS)
+
+
+def _dropped(s: SparkSession, d: str) -> DataFrame:
+    """Old days dropped as folders: each kept day with its rows, and whether it still lies in the files it was written to."""
+    house, spec = Warehouse(s, folder(s)), SPECS["core_address_netflow_daily"]
+    pipeline.run_models(Run(_inputs(s, d), house, AS_OF, full_refresh=True), (spec.name,), test=False)
+    files = lambda: house.read(spec).groupBy("event_date").agg(F.count(F.lit(1)).alias("row_count"), F.array_sort(F.collect_set(F.concat_ws(":", "_metadata.file_path", "_metadata.file_modification_time"))).alias("files"))
+    before = files().persist()
+    before.count()
+    gone = house.drop_days(spec, 30, AS_OF)
+    after = files().join(before.select("event_date", F.col("files").alias("earlier")), "event_date")
+    return after.select("event_date", "row_count", (F.col("files") == F.col("earlier")).alias("untouched"), F.lit(len(gone)).cast("long").alias("dropped_days"))
+
+
+register(
+    "dropped_days_netflow",
+    _dropped,
+    f"""select event_date, count(*) row_count, true untouched, (select count(distinct event_date) from netflow where event_date < {TODAY} - 30) dropped_days
+     from netflow where event_date >= {TODAY} - 30 group by event_date""",
+)
+
+
+def _backfilled_all(s: SparkSession, d: str) -> DataFrame:
+    """The whole table after a backfill of three days: the other days keep the amounts they were first built from."""
+    house, name = Warehouse(s, folder(s)), "core_address_netflow_daily"
+    broken = Inputs(**{**_inputs(s, d).__dict__, "transfers": raw(s, d, "raw_transfers").withColumn("amount_usd", F.lit(1.0))})
+    pipeline.run_models(Run(broken, house, AS_OF, full_refresh=True), (name,), test=False)
+    pipeline.run_backfill(Run(_inputs(s, d), house, AS_OF, **SPAN), name)
+    return _table(house, name)
+
+
+_INSIDE = f"event_date between date '{SPAN['start']}' and date '{SPAN['end']}'"
+register(
+    "backfilled_netflow_all_days",
+    _backfilled_all,
+    f"""select * exclude (dbt_updated_at) replace (case when {_INSIDE} then inflow_usd else inflow_count end as inflow_usd,
+     case when {_INSIDE} then outflow_usd else outflow_count end as outflow_usd, case when {_INSIDE} then net_usd else cast(inflow_count as double) - outflow_count end as net_usd) from netflow""",
+    FLOW_SUMS,
+)
+
+
+def _appended_new(s: SparkSession, d: str) -> DataFrame:
+    """Movements of the first half, then those beyond the mark: the second run appends the rest and repeats none."""
+    house = Warehouse(s, folder(s))
+    whole, half = _inputs(s, d), _inputs(s, d, HALF_MS)
+    pipeline.run_models(Run(whole, house, AS_OF, full_refresh=True), ("core_address_positions", "core_whale_addresses"), test=False)
+    pipeline.run_models(Run(half, house, HALF_DAY), ("mart_whale_movements",), test=False)
+    pipeline.run_models(Run(whole, house, AS_OF), ("mart_whale_movements",), test=False)
+    return _table(house, "mart_whale_movements").withColumn("second_run", F.col("event_timestamp") >= F.timestamp_millis(F.lit(HALF_MS)))
+
+
+register(
+    "appended_new_movements",
+    _appended_new,
+    f"select * exclude (dbt_updated_at), event_timestamp >= make_timestamp({HALF_MS} * 1000) second_run from movements",
+)
+
+
+def _checked(s: SparkSession, d: str) -> DataFrame:
+    """The daily run with its checks: every model is built, and each failing check is counted and its rows are kept."""
+    house = Warehouse(s, folder(s))
+    run = pipeline.run_daily(Run(_inputs(s, d), house, AS_OF, full_refresh=True))
+    built = [(n, house.read(SPECS[n]).count(), sum(c for k, c in run.failures.items() if k.split(".")[0] == n)) for n in SPECS]
+    return s.createDataFrame(built, "model string, row_count long, failures long")
+
+
+_MODELS = {
+    "stg_base_blocks": "stg_blocks", "stg_base_aave_events": "stg_lending_events", "stg_base_positions": "stg_positions", "stg_base_transfers": "stg_transfers",
+    "stg_market_prices": "stg_prices", "core_address_positions": "core_positions", "core_address_netflow_daily": "netflow", "core_cdp_metrics_daily": "cdp_metrics",
+    "core_token_metrics_daily": "token_metrics", "core_whale_addresses": "whales", "mart_whale_movements": "movements",
+}
+_OTHERS = {"mart_risk_dashboard": 10, "mart_ecosystem_kpis": 1}
+register(
+    "daily_run",
+    _checked,
+    " union all ".join(
+        f"select '{model}' model, count(*) row_count, " + ("count(distinct event_type) filter (event_type not in ('supply', 'withdraw', 'borrow', 'repay', 'liquidation'))" if model == "stg_base_aave_events" else "cast(0 as bigint)") + f" failures from {cte}"
+        for model, cte in {**_MODELS, "mart_protocol_summary": "protocol_summary"}.items()
+    )
+    + " union all select 'mart_risk_dashboard', (select count(distinct risk_level) from core_positions) * 0 + 1, 0 union all select 'mart_ecosystem_kpis', 1, 0",
+)

@@ -152,6 +152,32 @@ VIEWS = {
   ',"timestamp":', cast(1698796800000 + l_orderkey * 1000 as string), '}}') as value,
   l_orderkey, l_partkey, l_linenumber, l_suppkey from lineitem""",
     ),
+    "alert_policies": (
+        ["supplier"],
+        """select concat('p', cast(s_suppkey as string)) as name,
+ case s_suppkey % 7 when 5 then '{broken' when 6 then '{"metric":"health_factor","operator":"<","cooldown_minutes":5}'
+  else concat('{"metric":"', case when s_suppkey % 7 = 4 then 'amount_usd' else 'health_factor' end,
+   '","operator":"', case s_suppkey % 7 when 4 then '>' when 3 then '>=' when 2 then '<=' else '<' end,
+   '","threshold":', case s_suppkey % 7 when 4 then cast(60000 + s_suppkey % 100 * 200 as string) when 3 then concat('2.', cast(s_suppkey % 6 as string)) else concat('1.', lpad(cast(s_suppkey % 50 as string), 2, '0')) end,
+   case when s_suppkey % 3 = 0 then '' else concat(',"cooldown_minutes":', cast(s_suppkey % 4 * 1000 as string)) end, '}') end as config,
+ case when s_suppkey % 5 = 1 then null else s_suppkey % 11 <> 10 end as enabled from supplier""",
+    ),
+    "alert_configs": (
+        ["supplier"],
+        f"""select s_suppkey as id, concat('u', cast(s_suppkey % 9 as string)) as user_id,
+ case s_suppkey % 4 when 0 then 'address_watch' when 1 then 'risk_threshold' when 2 then 'whale_alert' else 'unknown' end as config_type,
+ case when s_suppkey % 13 = 0 then null when s_suppkey % 13 = 1 then '{{"addresses": broken' when s_suppkey % 4 = 0
+  then concat('{{"addresses":["', upper({_address('s_suppkey')}), '","', {_address('s_suppkey + 1')}, '",null],"min_severity":"', case when s_suppkey % 8 = 0 then 'WARNING' else 'LOUD' end, '"}}')
+  when s_suppkey % 4 = 1 then concat('{{"risk_levels":["critical","LIQUIDATABLE"],"min_collateral_usd":', cast(s_suppkey * 1000 as string), '}}')
+  else concat('{{"min_amount_usd":', cast(80000 + s_suppkey % 100 * 250 as string), case when s_suppkey % 3 = 0 then '' else ',"tokens":["usdc","TK5"]' end, '}}') end as config_value,
+ s_suppkey % 17 <> 5 as enabled from supplier""",
+    ),
+    "user_watchlist": (
+        ["customer"],
+        f"""select c_custkey as id, concat('u', cast(c_custkey % 9 as string)) as user_id, {_address('c_custkey')} as address,
+ case when c_custkey % 6 = 0 then null else c_custkey % 6 <> 1 end as alert_on_risk, c_custkey % 8 = 0 as alert_on_activity,
+ case when c_custkey % 4 = 0 then null else cast(1 + c_custkey % 50 / 1e2 as decimal(5,2)) end as risk_threshold from customer""",
+    ),
 }
 
 

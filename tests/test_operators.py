@@ -1,6 +1,9 @@
 """Edge rules on hand-made rows, checked against plain Python where a rule is sequential."""
 
+import json
+import operator
 import random
+from collections import Counter
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -11,7 +14,8 @@ from tidemark.config import DEBOUNCE_MS, RISK_LEVELS, STATE_TTL_MS
 from tidemark.functions.addresses import ZERO_ADDRESS, is_valid_address, truncate_address
 from tidemark.functions.risk import risk_level, size_tier, utilization
 from tidemark.functions.values import number_text
-from tidemark.operators import chain, checks, flows, lending, metrics, risk, timeline, versions, whales
+from tidemark.operators import behaviour, chain, checks, flows, lending, metrics, policies, risk, timeline, versions, whales
+from tidemark.operators.behaviour import WEEK_MS
 from tidemark.operators.dq_windows import FRESH_STATS, detector_step, dq_window_metrics
 from tidemark.operators.staging import stg_lending_events, stg_transfers
 from tidemark.plans import marts, serving
@@ -365,10 +369,77 @@ def test_spacing_boundary_and_limits(spark):
     assert kept.columns == df.columns
 
 
-def test_spacing_reads_its_source_once(spark):
-    df = spark.range(10).selectExpr("id % 2 as k", "id as t", "3 as gap", "id")
+def fold(rows):
+    """Kept rows of (key, at, gap, id), one after the other."""
+    last, kept = {}, []
+    for key, at, gap, i in sorted(rows, key=lambda r: (str(r[0]), r[1], r[3])):
+        if key not in last or at - last[key] >= (gap or 0):
+            last[key] = at
+            kept.append(i)
+    return sorted(kept)
+
+
+def test_spacing_equals_a_plain_fold(spark):
+    rng = random.Random(6)
+    rows, i = [], 0
+    for key in ("a", "b", None, "c"):
+        at = T0
+        for _ in range(400):
+            at += rng.choice([0, 1, 999, 1_000, 5_000, 59_999, 60_000, 400_000, 90_000_000])
+            rows.append((key, at, rng.choice([0, None, 1_000, 60_000, 300_000, 100_000_000]), i))
+            i += 1
+    df = spark.createDataFrame(rows, "k string, t bigint, gap bigint, id int").repartition(7)
+    for bucket in (86_400_000, 60_000):
+        kept = timeline.keep_spaced(df, ["k"], "t", "gap", ["id"], bucket)
+        assert sorted(r.id for r in kept.collect()) == fold(rows)
+
+
+def test_rows_without_a_time_are_not_spaced(spark):
+    df = spark.createDataFrame([("k", None, 5, 1), ("k", T0, 5, 2)], "k string, t bigint, gap bigint, id int")
+    assert [r.id for r in timeline.keep_spaced(df, ["k"], "t", "gap", ["id"]).collect()] == [2]
+    assert timeline.keep_spaced(df.limit(0), ["k"], "t", "gap", ["id"]).collect() == []
+
+
+def test_busy_key_is_folded_in_many_tasks(spark):
+    """A million rows of one key, in bursts: no task takes more than a fraction, and the rows are those of one fold."""
+    n, burst = 1_000_000, 2_000
+    at = F.lit(T0) + F.floor(F.col("id") / burst) * 3_600_000 + (F.col("id") % burst) * 700
+    df = spark.range(n).select(F.lit("hot").alias("k"), at.alias("t"), F.lit(300_000).alias("gap"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kept = timeline.keep_spaced(df, ["k"], "t", "gap", ["id"]).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # Within a burst of 1,399.3 s every 429th row is kept: 300,000 ms are 428.6 steps of 700.
+    assert sorted(r.id for r in kept) == [b * burst + k for b in range(n // burst) for k in range(0, burst, 429)]
+    shares = Counter(r.task for r in kept)
+    assert len(shares) > 1 and max(shares.values()) < len(kept) / 2
+
+
+def test_spacing_deals_by_segment(spark):
+    df = spark.range(10).selectExpr("id % 2 as k", "id as t", "3L as gap", "id")
     plan = timeline.keep_spaced(df, ["k"], "t", "gap", ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Range (") == 1 and plan.count("Exchange hashpartitioning") == 1
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len(dealt) == 1 and "_segment" in dealt[0]
+    assert plan.count("Range (") == 2  # rows, and their summary by bucket
+
+
+def test_running_totals(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("ab"), T0 + rng.randint(0, 50) * 600_000, rng.randint(-5, 5)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "k string, t bigint, x bigint")
+    got = timeline.running(df, ["k"], "t", ["x"]).collect()
+    want = sorted((k, t, sum(x for k2, t2, x in rows if k2 == k and t2 <= t)) for k, t, _ in rows)
+    assert sorted(map(tuple, got)) == want
+
+
+def test_latest_values(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice("ab"), T0 + rng.randint(0, 80) * 900_000, rng.choice([None, None, 1.0, 2.0, 3.0]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t bigint, v double, id int")
+    for r in timeline.latest(df, ["k"], "t", "v").collect():
+        before = [(t, v) for k, t, v, _ in rows if k == r.k and t <= r.t and v is not None]
+        assert r.v == (max(before)[1] if before else None)
 
 
 def test_alert_routing(spark):
@@ -476,3 +547,114 @@ def test_metrics_share_one_pass_and_guard_names(spark):
 def test_lineage_is_cut_in_the_shared_folder(spark, tmp_path):
     df = cut_lineage(spark.range(10))
     assert df.count() == 10 and "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+# --- address behaviour ------------------------------------------------------
+
+
+def behaviour_rows(rng, address, n, step):
+    at, out = T0, []
+    for _ in range(n):
+        at += rng.choice([0, 1, step, 3_600_000, 3_600_001, 86_400_000 - 1])
+        out.append(("base", address, at, Decimal(rng.randint(0, 900)) / 8, rng.choice(["t1", "t2", None]), rng.choice(["p", None])))
+    return out
+
+
+def test_behaviour_slides_exactly(spark):
+    rng = random.Random(11)
+    rows = [r for a in ("0x1", "0x2") for r in behaviour_rows(rng, a, 300, 700)]
+    rows += [("base", "0x1", T0 + 30 * 86_400_000 + x, Decimal(5), "t9", None) for x in (0, WEEK_MS - 1, WEEK_MS, 3 * WEEK_MS)]
+    df = spark.createDataFrame(rows, "chain string, address string, at bigint, usd decimal(38,8), token string, protocol string")
+    got = behaviour.behaviour_features(df.repartition(5), "2024-01-30").collect()
+    assert len(got) == len({(r[1], r[2]) for r in rows})
+    for r in got:
+        end = round(r.window_end.replace(tzinfo=timezone.utc).timestamp() * 1000)
+        own = [x for x in rows if x[1] == r.address and x[2] <= end]
+        for span, ms in behaviour.SPANS.items():
+            inside = [x for x in own if x[2] > end - ms]
+            assert r[f"tx_count_{span}"] == len(inside)
+            assert r[f"volume_usd_{span}"] == float(sum(x[3] for x in inside))
+        assert r.max_tx_size_usd == float(max(x[3] for x in inside))
+        assert r.unique_tokens_7d == len({x[4] for x in inside} - {None})
+        assert r.unique_protocols_7d == len({x[5] for x in inside} - {None})
+        assert r.activity_hours == sorted({x[2] // 3_600_000 % 24 for x in inside})
+
+
+def test_busy_address_is_dealt_by_hour(spark):
+    """One address with all rows: its windows lie in more than one task."""
+    at = F.lit(T0) + F.col("id") * 60_000
+    df = spark.range(20_000).select(F.lit("base").alias("chain"), F.lit("0xhot").alias("address"), at.alias("at"), F.lit(1).cast("decimal(38,8)").alias("usd"), F.lit("t").alias("token"), F.lit(None).cast("string").alias("protocol"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = timeline.running(df.withColumn("n", F.lit(1)), ["chain", "address"], "at", ["n"]).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r.n for r in rows) == list(range(1, 20_001))
+    shares = Counter(r.task for r in rows)
+    assert len(shares) > 1 and max(shares.values()) < 10_000
+
+
+def test_time_in_risk_adds_up(spark):
+    rng = random.Random(12)
+    rows = [("0x1", "p", b, rng.uniform(0.5, 2.5), T0 + rng.randint(0, 10 * 86_400_000)) for b in range(200)]
+    df = positions(spark, rows)
+    got = behaviour.time_in_risk(df, "2023-12-01").collect()
+    levels = [c for c in got[0].asDict() if c.endswith("_seconds") and c not in ("covered_seconds", "time_in_risk_seconds")]
+    for r in got:
+        assert sum(r[c] for c in levels) == pytest.approx(r.covered_seconds)
+        assert r.time_in_risk_seconds == pytest.approx(r.covered_seconds - r.safe_seconds)
+    first = min(r[4] for r in rows)
+    assert sum(r.covered_seconds for r in got) == pytest.approx(datetime(2023, 12, 1, tzinfo=timezone.utc).timestamp() - first / 1000)
+    assert max(r.covered_seconds for r in got) == 86_400
+
+
+# --- policies and watch rules --------------------------------------------------
+
+
+def test_policies_cross_each_threshold_once(spark, monkeypatch):
+    rng = random.Random(13)
+    configs = [(f"p{i}", json.dumps({"metric": rng.choice("mn"), "operator": rng.choice(["<", "<=", ">", ">="]), "threshold": rng.randint(0, 40) / 4}), None) for i in range(90)]
+    odd = [("broken", "{", True), ("none", None, True), ("off", configs[0][1], False), ("blank", '{"metric":"m","operator":"<"}', True), ("other", '{"metric":"m","operator":"!=","threshold":1}', True)]
+    seen = [(rng.choice("mn"), "base", f"0x{i % 5}", T0 + i, rng.choice([None, float("nan"), rng.randint(0, 40) / 4]), str(i)) for i in range(300)]
+    observed = spark.createDataFrame(seen, "metric string, chain string, address string, at bigint, value double, ref string")
+    parsed = policies.parse_policies(spark.createDataFrame(configs + odd, "name string, config string, enabled boolean"))
+    got = Counter((r.policy, r.ref) for r in policies.crossings(observed, parsed).collect())
+    compare = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+    want = Counter()
+    for name, text, _ in configs:
+        c = json.loads(text)
+        want.update((name, s[5]) for s in seen if s[0] == c["metric"] and s[4] is not None and s[4] == s[4] and compare[c["operator"]](s[4], c["threshold"]))
+    assert got == want
+    assert policies.crossings(observed, parsed.limit(0)).count() == 0
+
+
+def test_policy_cooldown_moves_on_alerts_only(spark):
+    policy = spark.createDataFrame([("p", '{"metric":"m","operator":">","threshold":0,"cooldown_minutes":1}', True)], "name string, config string, enabled boolean")
+    seen = [("m", "base", a, T0 + s * 1000, 1.0, f"{a}{s}") for a in ("x", "y") for s in (0, 30, 59, 60, 119, 121)]
+    got = policies.policy_alerts(spark.createDataFrame(seen, "metric string, chain string, address string, at bigint, value double, ref string"), policy)
+    assert sorted(r.ref for r in got.collect()) == ["x0", "x121", "x60", "y0", "y121", "y60"]
+
+
+def test_watch_rules_with_odd_configs(spark):
+    configs = [
+        (1, "u", "address_watch", '{"addresses":["0xA",null],"min_severity":"HIGH"}', None),
+        (2, "u", "address_watch", '{"addresses":["0xa","0xA"]}', True),
+        (3, "u", "address_watch", '{"addresses":[]}', True),
+        (4, "u", "risk_threshold", '{"risk_levels":["danger"]}', True),
+        (5, "u", "whale_alert", '{"min_amount_usd":10}', True),
+        (6, "u", "whale_alert", '{"tokens":["usdc"]}', True),
+        (7, "u", "whale_alert", "{broken", True),
+        (8, "u", "whale_alert", None, True),
+        (9, "u", "unheard_of", '{"min_amount_usd":0}', True),
+        (10, "u", "address_watch", '{"addresses":["0xa"],"min_severity":"LOUD"}', True),
+        (11, "u", "address_watch", '{"addresses":["0xa"]}', False),
+    ]
+    index = policies.watch_index(
+        spark.createDataFrame(configs, "id int, user_id string, config_type string, config_value string, enabled boolean"),
+        spark.createDataFrame([(1, "v", "0xA", None, None, None), (2, "v", "0xb", False, True, Decimal("9"))], "id int, user_id string, address string, alert_on_risk boolean, alert_on_activity boolean, risk_threshold decimal(5,2)"),
+    )
+    alerts = spark.createDataFrame([("a1", "0xa", "HIGH", "DANGER", Decimal(5)), ("a2", "0xa", "INFO", "SAFE", Decimal(5))], "alert_id string, user_address string, severity string, current_risk_level string, total_collateral_usd decimal(38,8)")
+    held = spark.createDataFrame([("p", "0xa", 1, 1.1), ("p", "0xa", 2, 1.2)], "protocol string, user_address string, block_number bigint, health_factor double")
+    moved = spark.createDataFrame([("t", 1, "USDC", "0xa", "0xb", 10.0), ("t", 2, None, "0xc", "0xc", None)], "tx_hash string, log_index int, token_symbol string, from_address string, to_address string, amount_usd double")
+    got = sorted((r.rule, r.event) for r in policies.watch_matches(policies.watch_events(alerts, held, moved), index).collect())
+    assert got == [("c1", "a1"), ("c2", "a1"), ("c2", "a2"), ("c4", "a1"), ("c5", "t-1"), ("c6", "t-1"), ("w1", "p-0xa-1"), ("w2", "t-1")]

@@ -74,11 +74,7 @@ def test_token_flow_stream_equals_batch(spark, small, tmp_path):
     jobs.start_token_flow(stream, out, options(tmp_path)).awaitTermination()
     got = read_upserts(spark, out, ["chain", "token_address", "hour"], "updated_at")
     want = flows.token_flow_hourly(transfers, "2024-01-30")
-    sketched = ["unique_senders_count", "unique_receivers_count", "updated_at"]
-    assert same(got.drop(*sketched), want.drop(*sketched)) > 0
-    sums = [F.sum("unique_senders_count"), F.sum("unique_receivers_count")]
-    for near, exact in zip(got.agg(*sums).first(), want.agg(*sums).first()):
-        assert abs(near - exact) <= 0.05 * exact
+    assert same(got.drop("senders", "receivers", "updated_at"), want.drop("updated_at")) > 0
 
 
 def test_late_transfers_go_to_the_side(spark, small, tmp_path):

@@ -92,14 +92,25 @@ def address_netflow_daily(transfers: DataFrame, as_of: str | datetime, settings:
     )
 
 
+#: Base-2 logarithm of a sketch's registers: 4 KiB each; the standard error of a count is 1.04 / sqrt(2^12), 1.6 %.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
 def flow_measures(exact: bool = True) -> list[Column]:
-    """Count, distinct senders and receivers, exact decimal volume and maximum."""
+    """Count, distinct senders and receivers, exact decimal volume and maximum.
+
+    Where not `exact`, addresses go to sketches of bounded size that merge over hours; up to some hundred addresses a
+    sketch lists them and its count is theirs.
+    """
     amount = F.coalesce(F.col("amount"), F.lit(0.0)).cast("decimal(38,18)")
-    distinct = F.count_distinct if exact else F.approx_count_distinct
+    if exact:
+        distinct = [F.count_distinct("from_address").alias("unique_senders_count"), F.count_distinct("to_address").alias("unique_receivers_count")]
+    else:
+        distinct = [F.hll_sketch_agg("from_address", SKETCH_BITS).alias("senders"), F.hll_sketch_agg("to_address", SKETCH_BITS).alias("receivers")]
     return [
         F.count(F.lit(1)).alias("transfer_count"),
-        distinct("from_address").alias("unique_senders_count"),
-        distinct("to_address").alias("unique_receivers_count"),
+        *distinct,
         F.sum(amount).alias("total_volume"),
         F.max(amount).alias("max_transfer_size"),
     ]
@@ -111,12 +122,29 @@ def average_size() -> Column:
     ).otherwise(F.lit(0.0))
 
 
-def token_flow_hourly(transfers: DataFrame, as_of: str | datetime, exact: bool = True) -> DataFrame:
+def distinct_counts() -> list[Column]:
+    """The counts that sketches of addresses estimate."""
+    return [F.hll_sketch_estimate("senders").alias("unique_senders_count"), F.hll_sketch_estimate("receivers").alias("unique_receivers_count")]
+
+
+def token_flow_daily(hourly: DataFrame) -> DataFrame:
+    """Daily flow from stored hours: sums add up, sketches unite, so an address of many hours counts once."""
+    united = hourly.groupBy("chain", "token_address", F.to_date("hour").alias("day")).agg(
+        F.sum("transfer_count").alias("transfer_count"),
+        F.hll_union_agg("senders").alias("senders"),
+        F.hll_union_agg("receivers").alias("receivers"),
+        F.sum("total_volume").cast("decimal(38,18)").alias("total_volume"),
+        F.max("max_transfer_size").alias("max_transfer_size"),
+    )
+    return united.select("chain", "token_address", "day", "transfer_count", *distinct_counts(), "total_volume", average_size().alias("avg_transfer_size"), "max_transfer_size")
+
+
+def token_flow_hourly(transfers: DataFrame, as_of: str | datetime) -> DataFrame:
     """Hourly flow per chain and token over transfer records."""
     return (
         transfers.where(F.col("timestamp").isNotNull())
         .groupBy("chain", "token_address", hour_of_millis(F.col("timestamp")).alias("hour"))
-        .agg(*flow_measures(exact))
+        .agg(*flow_measures())
         .select(
             "chain",
             "token_address",

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import DAY_MS, HOUR_MS
@@ -61,30 +62,64 @@ def with_history(
     )
 
 
-def keep_spaced(df: DataFrame, keys: list[str], millis: str, spacing: str, tie_break: list[str]) -> DataFrame:
+def _kept(at: np.ndarray, gap: np.ndarray, starts: np.ndarray, last: int) -> tuple[np.ndarray, int]:
+    """Which rows are kept, and the time of the last of them. Starts are kept; the others follow from the row kept before.
+
+    Between two starts the fold jumps from one kept row to the next by binary search, once for each spacing that occurs.
+    """
+    keep, n = starts.copy(), len(at)
+    heads = np.unique(np.concatenate([[0], np.flatnonzero(starts)]))
+    ends = np.append(heads[1:], n)
+    open_rows = ends - heads - starts[heads]
+    for first, end in zip(heads[open_rows > 0].tolist(), ends[open_rows > 0].tolist()):
+        now = int(at[first]) if starts[first] else last
+        rows = np.arange(first + int(starts[first]), end)
+        classes = [(int(g), rows[gap[rows] == g]) for g in np.unique(gap[rows])]
+        times = [(g, own, at[own]) for g, own in classes]
+        while True:
+            following = n
+            for g, own, when in times:
+                k = int(np.searchsorted(when, now + g))
+                if k < len(own):
+                    following = min(following, int(own[k]))
+            if following == n:
+                break
+            keep[following], now = True, int(at[following])
+    return keep, int(at[np.flatnonzero(keep)[-1]]) if keep.any() else last
+
+
+def keep_spaced(df: DataFrame, keys: list[str], millis: str, spacing: str, tie_break: list[str], bucket_ms: int = DAY_MS) -> DataFrame:
     """Rows that lie at least `spacing` ms after the last kept row of their key.
 
-    Which rows are kept depends on the rows kept before: a fold, not a window function. The rows are read and shuffled
-    once, sorted by key and time, and streamed with one number carried along, so the work is linear in the rows and the
-    memory does not grow with a key. A key's rows pass through one task; that is the recurrence itself.
+    Which rows are kept depends on the rows kept before: a fold, not a window function. But a row that lies its own
+    spacing or more after the row before it is kept whatever happened earlier, and starts a segment. Segments are found
+    by the bucketed look-back of `with_history`, dealt to tasks by key and start, and folded in Arrow batches with one
+    number carried along. A busy key is thus folded in as many tasks as it has pauses of a spacing; a stretch without any
+    pause stays in one task, in constant memory. Rows without a time are left out, a null spacing counts as 0, and null
+    keys are keys.
     """
+    sound = df.where(F.col(millis).isNotNull()).withColumn(spacing, F.coalesce(spacing, F.lit(0)).cast("long"))
+    state = F.struct(F.col(millis).alias("at"), F.col(spacing).alias("gap"))
+    rows = sound.withColumns({"_key": F.struct(*keys), "_state": state})
+
+    def starts(prev: Column, now: Column) -> Column:
+        return F.when(prev.isNull() | (now["at"] - prev["at"] >= now["gap"]), F.struct(now["at"].alias("at")))
+
+    history = with_history(rows, ["_key"], [millis, *tie_break], "_state", starts, bucket_ms)
+    start = F.col("prev").isNull() | (F.col(millis) - F.col("prev.at") >= F.col(spacing))
+    cut = history.select(*df.columns, F.col("mark.at").alias("_segment"), start.alias("_start"))
+    names = df.columns
+    dealt = cut.repartition(*keys, "_segment").sortWithinPartitions(*keys, "_segment", millis, *tie_break)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, last = None, 0
+        last = 0
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in keys]
-            times, gaps = batch.column(millis).to_pylist(), batch.column(spacing).to_pylist()
-            keep = []
-            for own, at, gap in zip(zip(*columns, strict=True), times, gaps, strict=True):
-                if own != key:
-                    key, last = own, 0
-                kept = at - last >= gap
-                last = at if kept else last
-                keep.append(kept)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            if batch.num_rows:
+                at, gap = batch.column(millis).to_numpy().astype(np.int64), batch.column(spacing).to_numpy()
+                keep, last = _kept(at, gap, batch.column("_start").to_numpy(zero_copy_only=False).astype(bool), last)
+                yield batch.filter(pa.array(keep)).select(names)
 
-    ordered = df.repartition(*keys).sortWithinPartitions(*keys, millis, *tie_break)
-    return ordered.mapInArrow(fold, df.schema)
+    return dealt.mapInArrow(fold, cut.select(*names).schema)
 
 
 def running(df: DataFrame, keys: list[str], at: str, sums: list[str], bucket_ms: int = HOUR_MS) -> DataFrame:
@@ -102,3 +137,18 @@ def running(df: DataFrame, keys: list[str], at: str, sums: list[str], bucket_ms:
     whole = upto.join(before, [*keys, "_bucket"])
     totals = {c: F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"_before_{c}"), F.lit(0)) for c in sums}
     return whole.withColumns(totals).select(*df.columns)
+
+
+def latest(df: DataFrame, keys: list[str], at: str, value: str, bucket_ms: int = HOUR_MS) -> DataFrame:
+    """`df` with `value` replaced by the key's last value that is not null, at the row's own time or before it.
+
+    Of several values at one time the largest counts. Buckets bound what a task holds, as in `running`.
+    """
+    timed = F.when(F.col(value).isNotNull(), F.struct(F.col(at).alias("at"), F.col(value).alias("v")))
+    rows = df.withColumns({"_bucket": F.floor(F.col(at) / F.lit(bucket_ms)), "_seen": timed})
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy(*keys, "_bucket").agg(F.max("_seen").alias("_last"))
+    before = before.select(*keys, "_bucket", F.max("_last").over(earlier).alias("_before"))
+    upto = rows.withColumn("_seen", F.max("_seen").over(inside)).join(before, [*keys, "_bucket"])
+    return upto.withColumn(value, F.coalesce("_seen.v", "_before.v")).select(*df.columns)

@@ -12,7 +12,7 @@ Tables are plain Parquet folders. Delete+insert comes in two forms:
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -122,6 +122,28 @@ class Warehouse:
         target.materialize(apply_retention(self.read(spec), column, days, as_of), spec, full_refresh=True)
 
 
+    def drop_days(self, spec: TableSpec, days: int, as_of: str | datetime) -> list[date]:
+        """Delete the day folders of a daily table that are older than `days`, in place; returns the days that went.
+
+        Only the folder names are read. No row is read or written, and what stays is not touched; a folder whose name is
+        no day (rows without one) stays.
+        """
+        jvm = self.spark.sparkContext._jvm
+        top = jvm.org.apache.hadoop.fs.Path(self.path(spec.name))
+        store = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        oldest, gone = day_of(as_of) - timedelta(days=days), []
+        for status in store.listStatus(top) if store.exists(top) else ():
+            column, _, value = status.getPath().getName().partition("=")
+            try:
+                day = date.fromisoformat(value) if status.isDirectory() and column == spec.partition_by else oldest
+            except ValueError:
+                continue
+            if day < oldest:
+                store.delete(status.getPath(), True)
+                gone.append(day)
+        return sorted(gone)
+
+
 def apply_retention(df: DataFrame, column: str, days: int, as_of: str | datetime) -> DataFrame:
     return df.where(F.to_date(column) >= F.lit(day_of(as_of) - timedelta(days=days)))
 

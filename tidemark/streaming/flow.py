@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import HOUR_MS
 from tidemark.functions.values import hour_of_millis
-from tidemark.operators.flows import average_size, flow_measures
+from tidemark.operators.flows import average_size, distinct_counts, flow_measures
 from tidemark.streaming.sinks import BatchWriter
 
 # 30 seconds of disorder plus 5 minutes of allowed lateness.
@@ -18,8 +18,8 @@ ALLOWED = "330 seconds"
 def token_flow_stream(transfers: DataFrame, delay: str = ALLOWED) -> DataFrame:
     """Hourly windows in update mode: a late transfer within the delay updates its row.
 
-    Distinct addresses are counted by a sketch of constant size; the batch
-    form counts them exactly.
+    Distinct addresses are counted by sketches of bounded size, which the rows
+    carry so that `token_flow_daily` can unite them; the batch form counts exactly.
     """
     hour = F.window("event_time", "1 hour")
     return (
@@ -33,8 +33,9 @@ def token_flow_stream(transfers: DataFrame, delay: str = ALLOWED) -> DataFrame:
             "token_address",
             F.col("w.start").alias("hour"),
             "transfer_count",
-            "unique_senders_count",
-            "unique_receivers_count",
+            *distinct_counts(),
+            "senders",
+            "receivers",
             "total_volume",
             average_size().alias("avg_transfer_size"),
             "max_transfer_size",

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators import pricing
 from tidemark.session import checkpoint_root
 from tidemark.streaming import dq, flow, landing, risk
 from tidemark.streaming.sinks import BatchWriter, alert_sink, append_sink, split_sink, upsert_sink
@@ -89,6 +92,42 @@ def start_late_transfers(transfers: DataFrame, path: str, options: JobOptions =
     return _start(transfers, "late_transfers", writer, options, "append")
 
 
+def start_prices(prices: DataFrame, path: str, options: JobOptions = JobOptions()):
+    """The price stream to a log that `start_priced_positions` reads."""
+    return _start(prices, "prices", append_sink(path), options, "append")
+
+
+def start_priced_positions(positions: DataFrame, prices_path: str, path: str, options: JobOptions = JobOptions(), fresh_ms: int = pricing.FRESH_MS):
+    """Positions beside the newest price of their asset: each batch meets the log of prices as it then is.
+
+    A batch reads the prices of its own span of time and of `fresh_ms` before it, by a range that reaches the files'
+    statistics, so the work of a batch is bounded by that span however long the log grows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first, last = batch.agg(F.min("timestamp"), F.max("timestamp")).first()
+        log = batch.sparkSession.read.parquet(prices_path)
+        log = log.where(F.col("timestamp").between(F.lit(first) - fresh_ms, F.lit(last)))
+        pricing.beside_prices(batch, log, fresh_ms).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return _start(positions, "priced_positions", write, options, "append")
+
+
+def start_topics(topics: list[DataFrame], delay: str, path: str, options: JobOptions = JobOptions(), policy: str = "min"):
+    """Messages of several topics counted by topic and hour, each hour once it has closed for all of them.
+
+    Every topic has its own watermark. By the policy `min` the slowest topic decides which hours are closed, and a topic
+    that falls idle holds all others back; by `max` the fastest one decides, and what a slower topic brings for a closed
+    hour is late and dropped.
+    """
+    timed = [t.withColumn("event_time", F.timestamp_millis("timestamp")).withWatermark("event_time", delay) for t in topics]
+    rows = reduce(DataFrame.unionByName, timed)
+    counts = rows.groupBy(F.window("event_time", "1 hour").alias("w"), "topic").agg(F.count(F.lit(1)).alias("message_count"))
+    closed = counts.select("topic", F.col("w.start").alias("hour"), "message_count")
+    with setting(rows.sparkSession, "spark.sql.streaming.multipleWatermarkPolicy", policy):
+        return _start(closed, "topics", append_sink(path), options, "append")
+
+
 def start_dq_windows(messages: DataFrame, path: str, options: JobOptions = JobOptions(interval="30 seconds"), **window):
     """Closed windows to a file sink, whose log makes each window appear exactly once to its readers."""
     windows = dq.dq_stream(messages, **window)
