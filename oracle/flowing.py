@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from oracle import models
 from oracle.registry import ENTRIES, _drained, register
 from oracle.stored import folder
-from oracle.views import AS_OF, raw, spark_view
+from oracle.views import raw, spark_view
 from tidemark.operators import flows, pricing, risk
 from tidemark.sources import schemas
 from tidemark.sources.streams import StreamConfig, read_messages, stream_source
@@ -201,3 +201,21 @@ def _repeated(s: SparkSession, d: str) -> DataFrame:
 
 
 register("stream_landing_repeats", _repeated, ENTRIES["stream_landing"].body)
+
+
+def _from_offsets(s: SparkSession, d: str) -> DataFrame:
+    """Two topics of a log that five share, two of their partitions from a given offset on, file after file."""
+    rows = _messages(s, d)
+    early = F.col("timestamp") < _IDLE_MS
+    starts = '{"topic.view": {"0": 2000, "1": -2}, "topic.error": {"3": 5000}}'
+    config = StreamConfig(path=in_order(s, rows.where(early), rows.where(~early)), topics=("topic.view", "topic.error"), starting_offsets=starts, max_files_per_trigger=1)
+    stream = stream_source(s, config)
+    return sinks.read_batches(s, _drained(s, lambda o, options: jobs.start_prices(stream, o, options))).select(*_ENVELOPE)
+
+
+register(
+    "stream_from_offsets",
+    _from_offsets,
+    f"""select * from ({ENTRIES["message_envelope"].body}) where topic in ('topic.view', 'topic.error')
+     and not (topic = 'topic.view' and partition = 0 and "offset" < 2000) and not (topic = 'topic.error' and partition = 3 and "offset" < 5000)""",
+)

@@ -138,10 +138,10 @@ def _dropped(s: SparkSession, d: str) -> DataFrame:
     house, spec = Warehouse(s, folder(s)), SPECS["core_address_netflow_daily"]
     pipeline.run_models(Run(_inputs(s, d), house, AS_OF, full_refresh=True), (spec.name,), test=False)
     files = lambda: house.read(spec).groupBy("event_date").agg(F.count(F.lit(1)).alias("row_count"), F.array_sort(F.collect_set(F.concat_ws(":", "_metadata.file_path", "_metadata.file_modification_time"))).alias("files"))
-    before = files().persist()
-    before.count()
+    earlier = folder(s)
+    files().write.parquet(earlier)
     gone = house.drop_days(spec, 30, AS_OF)
-    after = files().join(before.select("event_date", F.col("files").alias("earlier")), "event_date")
+    after = files().join(s.read.parquet(earlier).select("event_date", F.col("files").alias("earlier")), "event_date")
     return after.select("event_date", "row_count", (F.col("files") == F.col("earlier")).alias("untouched"), F.lit(len(gone)).cast("long").alias("dropped_days"))
 
 
@@ -202,13 +202,19 @@ _MODELS = {
     "stg_market_prices": "stg_prices", "core_address_positions": "core_positions", "core_address_netflow_daily": "netflow", "core_cdp_metrics_daily": "cdp_metrics",
     "core_token_metrics_daily": "token_metrics", "core_whale_addresses": "whales", "mart_whale_movements": "movements",
 }
-_OTHERS = {"mart_risk_dashboard": 10, "mart_ecosystem_kpis": 1}
+_KEYS = {"stg_blocks": "block_number", "core_positions": "position_key", "cdp_metrics": "metrics_key", "token_metrics": "metrics_key", "whales": "address", "movements": "movement_id", "protocol_summary": "protocol"}
+
+
+def _failing(cte: str) -> str:
+    if cte == "stg_lending_events":
+        return "count(distinct event_type) filter (event_type not in ('supply', 'withdraw', 'borrow', 'repay', 'liquidation'))"
+    key = _KEYS.get(cte)
+    return f"(select count(*) from (select {key} from {cte} group by {key} having count(*) > 1))" if key else "cast(0 as bigint)"
+
+
 register(
     "daily_run",
     _checked,
-    " union all ".join(
-        f"select '{model}' model, count(*) row_count, " + ("count(distinct event_type) filter (event_type not in ('supply', 'withdraw', 'borrow', 'repay', 'liquidation'))" if model == "stg_base_aave_events" else "cast(0 as bigint)") + f" failures from {cte}"
-        for model, cte in {**_MODELS, "mart_protocol_summary": "protocol_summary"}.items()
-    )
-    + " union all select 'mart_risk_dashboard', (select count(distinct risk_level) from core_positions) * 0 + 1, 0 union all select 'mart_ecosystem_kpis', 1, 0",
+    " union all ".join(f"select '{model}' model, count(*) row_count, {_failing(cte)} failures from {cte}" for model, cte in {**_MODELS, "mart_protocol_summary": "protocol_summary"}.items())
+    + f" union all select 'mart_risk_dashboard', count(*), 0 from ({ENTRIES['mart_risk_dashboard'].body}) union all select 'mart_ecosystem_kpis', 1, 0",
 )

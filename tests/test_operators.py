@@ -538,6 +538,9 @@ def test_metrics_share_one_pass_and_guard_names(spark):
     rows = {r.protocol: (r.whale_tvl_share, r.at_risk_ratio, r.total_positions) for r in got.collect()}
     assert rows == {"p": (0.75, 0.25, 2), "q": (None, None, 1)}
     assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    alone = metrics.metric(models, "whale_tvl_usd", ("protocol",)).collect()
+    both = metrics.metrics(models, ["whale_tvl_usd", "at_risk_tvl_usd"], ("protocol",)).collect()
+    assert [tuple(r) for r in alone] == [("p", 30)] and [tuple(r) for r in both] == [("p", 30, 10)]
     with pytest.raises(ValueError):
         metrics.metric(models, "total_tvl_usd", ("nope",))
     with pytest.raises(ValueError):

@@ -108,3 +108,16 @@ def test_spec_needs_a_way_to_delete():
         TableSpec("t", "delete_insert", "key")
     with pytest.raises(ValueError):
         TableSpec("t", "merge")
+
+
+def test_old_days_are_dropped_in_place(spark, tmp_path):
+    spec = TableSpec("t", "delete_insert", "k", partition_by="day")
+    house = Warehouse(spark, str(tmp_path))
+    house.materialize(spark.sql("select explode(array(date '2024-01-01', date '2024-01-30', null)) as day, 1 as k"), spec, full_refresh=True)
+    house.materialize(spark.sql("select date '2023-12-31' as day, 2 as k"), spec)
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("day=2024*/*.parquet")}
+    assert house.drop_days(spec, 30, "2024-01-30") == []
+    assert house.drop_days(spec, 29, "2024-01-30") == [date(2023, 12, 31)]
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("day=2024*/*.parquet")} == kept
+    assert sorted((str(r.day), r.k) for r in house.read(spec).collect()) == [("2024-01-01", 1), ("2024-01-30", 1), ("None", 1)]
+    assert house.drop_days(TableSpec("missing", "delete_insert", "k", partition_by="day"), 30, "2024-01-30") == []

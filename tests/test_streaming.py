@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from oracle.views import raw, spark_view
 from tidemark.operators import dq_windows, flows, risk
 from tidemark.sources import schemas
-from tidemark.sources.streams import StreamConfig, stream_source
+from tidemark.sources.streams import StreamConfig, envelope, stream_source
 from tidemark.streaming import jobs, landing
 from tidemark.streaming.jobs import JobOptions
 from tidemark.streaming.sinks import compact_upserts, read_batches, read_upserts
@@ -132,3 +132,66 @@ def test_landing_splits_and_deduplicates(spark, tmp_path):
     landed = read_batches(spark, out).collect()
     assert sorted((r.price_usd, r.kafka_offset) for r in landed) == [(2.5, 1), (2.5, 2)]
     assert {r.offset for r in read_batches(spark, dead).collect()} == {3, 4}
+
+
+def test_percentile_state_grows_with_latencies_only(spark, tmp_path):
+    """Fifty times the messages over the same hundred latencies: the state of the windows stays what it was."""
+
+    def state_bytes(rows):
+        at = F.lit(1_700_000_000_000) + F.col("id") % 1_000
+        messages = spark.range(rows).select(
+            F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit("k").alias("key"), F.lit("v").alias("value"),
+            at.alias("timestamp"), F.create_map().cast("map<string,string>").alias("headers"), (at + F.col("id") % 100).alias("processing_time"),
+        )
+        path = str(tmp_path / f"in{rows}")
+        messages.coalesce(1).write.parquet(path)
+        stream = stream_source(spark, StreamConfig(path=path), schemas.MESSAGES)
+        query = jobs.start_dq_windows(stream, str(tmp_path / f"out{rows}"), options(tmp_path))
+        query.awaitTermination()
+        return max(o["memoryUsedBytes"] for p in query.recentProgress for o in p["stateOperators"])
+
+    assert state_bytes(500_000) <= 1.2 * state_bytes(10_000)
+
+
+def test_stream_percentiles_are_nearest_rank(spark, tmp_path):
+    """Few messages, where neighbouring ranks differ most: each window's percentiles equal the batch form's."""
+    rows = [("t", 0, i, "k", "v", 1_700_000_000_000 + i % 7 * 60_000, None, 1_700_000_000_000 + i % 7 * 60_000 + i * i) for i in range(300)]
+    rows += [("t", 0, 999, "k", "v", 1_700_100_000_000, None, 1_700_100_000_000)]
+    messages = spark.createDataFrame(rows, schemas.MESSAGES)
+    messages.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = stream_source(spark, StreamConfig(path=str(tmp_path / "in")), schemas.MESSAGES)
+    jobs.start_dq_windows(stream, str(tmp_path / "out"), options(tmp_path)).awaitTermination()
+    got = {r.window_from: (r.p95_latency_ms, r.p99_latency_ms) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {r.window_from: (r.p95_latency_ms, r.p99_latency_ms) for r in dq_windows.dq_window_metrics(messages).collect()}
+    assert len(got) >= 8 and all(want[k] == v for k, v in got.items())
+
+
+def test_sketches_unite_over_hours(spark):
+    """Many addresses, each active in several hours: the day's distinct counts stay within three standard errors."""
+    n = 60_000
+    transfers = spark.range(n).select(
+        F.lit("base").alias("chain"), F.lit("t").alias("token_address"), (F.col("id") % 20_000).cast("string").alias("from_address"), (F.col("id") % 40).cast("string").alias("to_address"),
+        F.lit(1.0).alias("amount"), (F.lit(1_700_006_400_000) + F.col("id") % 20 * 3_600_000).alias("timestamp"),
+    )
+    hour = F.timestamp_millis(F.col("timestamp"))
+    hourly = transfers.groupBy("chain", "token_address", hour.alias("hour")).agg(*flows.flow_measures(exact=False))
+    day = flows.token_flow_daily(hourly).collect()
+    assert len(day) == 1 and day[0].transfer_count == n and day[0].unique_receivers_count == 40
+    assert abs(day[0].unique_senders_count - 20_000) <= 3 * flows.SKETCH_ERROR * 20_000
+
+
+def test_broker_rows_become_messages(spark):
+    rows = spark.sql("select 't' topic, 0 partition, 5L offset, cast('k' as binary) key, cast(null as binary) value, timestamp_millis(1700000000123) timestamp")
+    got = envelope(rows)
+    assert [f.name for f in got.schema] == ["topic", "partition", "offset", "key", "value", "timestamp", "headers", "processing_time"]
+    r = got.first()
+    assert (r.topic, r.partition, r.offset, r.key, r.value, r.timestamp, r.headers) == ("t", 0, 5, "k", None, 1_700_000_000_123, {})
+
+
+def test_log_is_read_from_given_offsets(spark, tmp_path):
+    rows = [(t, p, o, None, None, 0, None, 0) for t in "ab" for p in (0, 1) for o in range(4)]
+    spark.createDataFrame(rows, schemas.MESSAGES).coalesce(1).write.parquet(str(tmp_path / "in"))
+    config = StreamConfig(path=str(tmp_path / "in"), topics=("a",), starting_offsets='{"a": {"0": 3, "1": -2}, "b": {"0": 0}}')
+    out = str(tmp_path / "out")
+    jobs.start_prices(stream_source(spark, config), out, options(tmp_path)).awaitTermination()
+    assert sorted((r.topic, r.partition, r.offset) for r in read_batches(spark, out).collect()) == [("a", 0, 3), *(("a", 1, o) for o in range(4))]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,8 +148,9 @@ def metrics(
 ) -> DataFrame:
     """Several metrics of one model side by side, computed in a single pass.
 
-    A filter that all requested metrics share moves into the scan; otherwise
-    each metric applies its own inside the aggregate.
+    Each metric applies its own filter inside the aggregate. A group is shown if
+    some requested metric has rows in it; where all metrics are filtered, the
+    rows that none of them takes are left out of the scan.
     """
     parts = sorted({part for name in names for part in _simple_parts(name)})
     used = {METRICS[part].model for part in parts}
@@ -170,8 +172,9 @@ def metrics(
             raise ValueError(f"{part} needs as_of")
         return rule(day_of(as_of) if as_of is not None else date.min)
 
-    if len(parts) == 1 and condition(parts[0]) is not None:
-        df = df.where(condition(parts[0]))
+    conditions = [condition(p) for p in parts]
+    if all(c is not None for c in conditions):
+        df = df.where(reduce(Column.__or__, conditions))
     keys = [F.col(c) for c in group_by]
     if grain:
         keys.append(F.date_trunc(grain, model.time).alias("metric_time"))

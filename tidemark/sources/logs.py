@@ -58,36 +58,33 @@ def address_of(hex_word: Column) -> Column:
     return F.lower(F.concat(F.lit("0x"), F.right(hex_word, F.lit(40))))
 
 
+_LIMB_BITS, _LIMBS, _CHUNK, _CHUNKS = 28, 10, 10**9, 9
+
+
 def uint_text(hex_digits: Column) -> Column:
     """Unsigned hex of up to 32 bytes to decimal text, exact over the full range.
 
-    The value is taken in limbs of 28 bits. Decimal text grows in chunks of
-    nine digits, so every step stays inside 64-bit integers on the JVM.
+    The value is taken in limbs of 28 bits. Each power of the limbs' base is written in chunks of nine decimal digits, so
+    a chunk of the value is a sum of ten products below 2^58 and one pass of carries is left; all of it fits 64 bits.
     """
-    limbs = F.transform(
-        F.sequence(F.lit(0), F.lit(9)),
-        lambda i: F.conv(F.substring(F.lpad(hex_digits, 70, "0"), i * 7 + 1, F.lit(7)), 16, 10).cast("bigint"),
-    )
-    zero = F.array_repeat(F.lit(0).cast("bigint"), 9)
-    base = F.lit(1_000_000_000).cast("bigint")
-
-    def shift_in(digits: Column, limb: Column) -> Column:
-        start = F.struct(limb.alias("carry"), F.array().cast("array<bigint>").alias("out"))
-        done = F.aggregate(
-            digits,
-            start,
-            lambda acc, d: F.struct(
-                F.call_function("div", d * F.lit(1 << 28) + acc["carry"], base).alias("carry"),
-                F.concat(acc["out"], F.array(F.pmod(d * F.lit(1 << 28) + acc["carry"], base))).alias("out"),
-            ),
-        )
-        return done["out"]
-
-    chunks = F.aggregate(limbs, zero, shift_in)
-    text = F.aggregate(
-        chunks, F.lit(""), lambda acc, d: F.concat(F.lpad(d.cast("string"), 9, "0"), acc)
-    )
-    trimmed = F.regexp_replace(text, "^0+", "")
+    padded = F.lpad(hex_digits, 70, "0")
+    limbs = F.array(*[F.conv(F.substring(padded, i * 7 + 1, 7), 16, 10).cast("bigint") for i in reversed(range(_LIMBS))])
+    powers = [[(1 << (_LIMB_BITS * i)) // _CHUNK**k % _CHUNK for i in range(_LIMBS)] for k in range(_CHUNKS)]
+    rows = F.array(*[F.array(*[F.lit(p).cast("bigint") for p in row]) for row in powers])
+
+    def written(own: Column) -> Column:
+        def add(acc: Column, row: Column) -> Column:
+            total = acc["carry"]
+            for i in range(_LIMBS):
+                total = total + own[i] * row[i]
+            digits = F.lpad((total % _CHUNK).cast("string"), 9, "0")
+            return F.struct(F.call_function("div", total, F.lit(_CHUNK).cast("bigint")).alias("carry"), F.concat(digits, acc["out"]).alias("out"))
+
+        return F.aggregate(rows, F.struct(F.lit(0).cast("bigint").alias("carry"), F.lit("").alias("out")), add)["out"]
+
+    # The limbs are bound to a name, so that they are read once.
+    text = F.transform(F.array(limbs), written)[0]
+    trimmed = F.ltrim(text, F.lit("0"))
     return F.when(trimmed == "", "0").otherwise(trimmed)
 
 

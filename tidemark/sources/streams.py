@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,12 @@ DISORDER = {
 
 @dataclass(frozen=True)
 class StreamConfig:
-    """`kafka` needs `topics` and `servers`; file formats need `path`."""
+    """`kafka` needs `topics` and `servers`; file formats need `path`.
+
+    `starting_offsets` is latest, earliest or, as JSON, the first offset of partitions by topic (-2: the earliest there is).
+    Message files are a log that several topics may share: there `topics` choose and JSON offsets apply, partitions they
+    don't name are read from the start, and latest and earliest both mean all files, which a restart goes on from.
+    """
 
     format: str = "parquet"
     path: str = ""
@@ -42,7 +48,19 @@ def stream_source(spark: SparkSession, config: StreamConfig, ddl: str = schemas.
         return envelope(reader.options(**config.options).load())
     if config.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", config.max_files_per_trigger)
-    return reader.schema(ddl).options(**config.options).load(config.path)
+    rows = reader.schema(ddl).options(**config.options).load(config.path)
+    if config.topics:
+        rows = rows.where(F.col("topic").isin(*config.topics))
+    return from_offsets(rows, json.loads(config.starting_offsets)) if config.starting_offsets.startswith("{") else rows
+
+
+def from_offsets(messages: DataFrame, first: dict[str, dict[str, int]]) -> DataFrame:
+    """The messages at or beyond the first offset of their partition."""
+    starts = [(topic, int(partition), offset) for topic, own in first.items() for partition, offset in own.items() if offset >= 0]
+    for topic, partition, offset in starts:
+        before = (F.col("topic") == topic) & (F.col("partition") == partition) & (F.col("offset") < offset)
+        messages = messages.where(~F.coalesce(before, F.lit(False)))
+    return messages
 
 
 def envelope(kafka_rows: DataFrame) -> DataFrame:
