@@ -28,7 +28,9 @@ from tidemark.llm.common import TILE, lower_ascii, mixed, stored, utf8, word_has
 
 LEAST, TOP, SHARE, SCALE = 10, 2_000, 50, 1_000_000
 #: Bytes of texts that a task counts together, before counts go to the shuffle.
-BLOCK = 4 * TILE
+BLOCK = 2 * TILE
+#: Rows that a task hands over at once.
+ROWS = 1 << 16
 #: Bits for each frequent hash, and the bounds of the table of bits (32 MiB at most).
 BITS_EACH, FEWEST_BITS, MOST_BITS = 16, 1 << 15, 1 << 28
 #: Bits of one row of the table, which is what Spark's bitmap aggregate builds.
@@ -74,7 +76,7 @@ def _words(data: np.ndarray, offsets: np.ndarray, cut: bool) -> _Words | None:
     np.cumsum(ends - starts, out=ends_in[1:])
     names = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends_in), pa.py_buffer(data[solid[: len(data)]])).dictionary_encode()
     number = names.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    breaks = np.cumsum(_BREAK[data], dtype=np.int64)[starts] if len(starts) else starts
+    breaks = np.cumsum(_BREAK[data], dtype=np.int32)[starts] if len(starts) else starts
     linked = np.zeros(len(starts), bool)
     linked[:-1] = (value[1:] == value[:-1]) & (breaks[1:] == breaks[:-1])
     return _Words(names.dictionary, number, linked, value, len(starts) - 2 if cut else len(starts), following)
@@ -110,6 +112,12 @@ def _hashed(langs: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.array(by_lang, np.uint64), np.concatenate([np.zeros(1, np.uint64), word_hashes(data, offsets[:-1], offsets[1:])])
 
 
+def _handed(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, rows.num_rows, ROWS):
+        yield rows.slice(at, ROWS)
+    pa.default_memory_pool().release_unused()
+
+
 def _hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, n) of the words and pairs of blocks."""
     for langs, lang, words in _parts(batches):
@@ -119,7 +127,7 @@ def _hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = np.flatnonzero(words.linked[:keep])
         two, n2 = np.unique((lang[pair] * base + words.number[pair]) * base + words.number[pair + 1], return_counts=True)
         h = np.concatenate([_one(by_lang, by_word, one, base), _two(by_lang, by_word, two, base)]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.concatenate([n1, n2]), pa.int64())], ["h", "n"])
+        yield from _handed(pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.concatenate([n1, n2]), pa.int64())], ["h", "n"]))
 
 
 def _one(by_lang: np.ndarray, by_word: np.ndarray, keys: np.ndarray, base: int) -> np.ndarray:
@@ -131,7 +139,10 @@ def _two(by_lang: np.ndarray, by_word: np.ndarray, keys: np.ndarray, base: int)
 
 
 def _counted(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(lang, w1, w2, w3, n) of the words, pairs and runs of two pairs that the bits let by, and of no word: all words of a language."""
+    """(key, n) of the words, pairs and runs of two pairs that the bits let by, and of no word: all words of a language.
+
+    A key is one string, words between blanks and the language behind a tab, which no word holds.
+    """
     mask = np.uint64(len(bits) * 8 - 1)
 
     def frequent(h: np.ndarray) -> np.ndarray:
@@ -154,15 +165,15 @@ def _counted(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa
         three, n3 = np.unique(at_word[run] * base + number[run + 2], return_counts=True)
         two_of_three = two[three // base]
         good &= n2 > 0
-        none = np.zeros(0, np.int64)
-        keys = [(np.arange(len(langs)), none, none, none, all_words), (one[let] // base, one[let] % base, none, none, n1[let])]
-        keys += [(two[good] // base // base, two[good] // base % base, two[good] % base, none, n2[good])]
+        keys = [(np.arange(len(langs)), all_words), (one[let] // base, one[let] % base, n1[let])]
+        keys += [(two[good] // base // base, two[good] // base % base, two[good] % base, n2[good])]
         keys += [(two_of_three // base // base, two_of_three // base % base, two_of_three % base, three % base, n3)]
         texts = pa.concat_arrays([pa.array([""], words.names.type), words.names])
-        for own, w1, w2, w3, n in keys:
-            columns = [pc.cast(langs.take(pa.array(own)), pa.string())]
-            columns += [pc.cast(texts.take(pa.array(np.pad(w, (0, len(n) - len(w))))), pa.string()) for w in (w1, w2, w3)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], ["lang", "w1", "w2", "w3", "n"])
+        for own, *of_words, n in keys:
+            parts = [pc.cast(texts.take(pa.array(w)), pa.string()) for w in of_words]
+            phrase = pc.binary_join_element_wise(*parts, " ") if parts else pa.array([""] * len(n), pa.string())
+            key = pc.binary_join_element_wise(phrase, pc.cast(langs.take(pa.array(own)), pa.string()), "\t")
+            yield from _handed(pa.RecordBatch.from_arrays([key, pa.array(n, pa.int64())], ["key", "n"]))
 
 
 def _bits(pieces: DataFrame, least: int) -> np.ndarray:
@@ -183,9 +194,11 @@ def counts(docs: DataFrame, least: int, text: str = "text", lang: str = "lang")
     """((lang, w1, w2, w3, f) of all phrases of up to three words that occur `least` times, w2 and w3 empty for shorter ones; (lang, n) words in all)."""
     pieces = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text is not null")
     bits = docs.sparkSession.sparkContext.broadcast(_bits(pieces, least))
-    blocks = pieces.mapInArrow(lambda batches: _counted(batches, bits.value), "lang string, w1 string, w2 string, w3 string, n long")
-    whole = blocks.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("f"))
-    kept = stored(whole.where((F.col("w1") == "") | (F.col("f") >= least)), "phrases")
+    blocks = pieces.mapInArrow(lambda batches: _counted(batches, bits.value), "key string, n long")
+    whole = blocks.groupBy("key").agg(F.sum("n").alias("f")).where(F.col("key").startswith("\t") | (F.col("f") >= least))
+    words = F.split(F.substring_index("key", "\t", 1), " ")
+    columns = [F.coalesce(F.get(words, F.lit(i)), F.lit("")).alias(f"w{i + 1}") for i in range(3)]
+    kept = stored(whole.select(F.expr("substring(key, locate('\t', key) + 1)").alias("lang"), *columns, "f"), "phrases")
     return kept.where("w1 <> ''"), kept.where("w1 = ''").select("lang", F.col("f").alias("n"))
 
 
