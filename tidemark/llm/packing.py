@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import array
 import bisect
-import json
+import sys
 import zlib
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tidemark.llm.common import stored
 
@@ -29,19 +32,26 @@ CAPACITY = 2048
 SLACK, BLOCK, FAN_IN = 8, 8_192, 8
 #: Tasks of the first round at most; beyond it tasks pack several blocks of LARGE_BLOCK pieces.
 MOST_TASKS, LARGE_BLOCK = 4_096, 1 << 20
-#: Texts between blanks, and words of them, whose ids a task remembers.
-REMEMBERED = 1 << 18
+#: Words and other texts between blanks whose ids a task remembers.
+REMEMBERED = 1 << 20
 #: Fixed value: the pattern by which a byte-level tokenizer cuts a text before it merges bytes.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Marks that end many words and are words of that pattern by themselves.
+_MARKS = ".,;:!?)"
 
 
 class _Remembered(dict):
-    """Token ids, as little-endian bytes, of strings, found by `encode` at first use; emptied when full."""
+    """Token ids, as little-endian bytes, of what stands behind a blank, found at first use; emptied when full.
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        self.encode = encode
+    A word with a mark behind it isn't kept: it is put together from the two.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], marks: dict[str, bytes]):
+        self.encode, self.marks = encode, marks
 
     def __missing__(self, text: str) -> bytes:
+        if text[-1:] in self.marks and text[:-1].isalpha():
+            return self[text[:-1]] + self.marks[text[-1]]
         if len(self) >= REMEMBERED:
             self.clear()
         out = self[text] = self.encode(text)
@@ -59,15 +69,13 @@ def encoder(path: str) -> Callable[[str], bytes]:
     are cut there and repeated parts are looked up. Other tokenizers get whole texts.
     """
     tokenizer = Tokenizer.from_file(path)
-    with open(path, encoding="utf-8") as file:
-        plan = json.load(file)
     whole = lambda text: _bytes(tokenizer.encode(text, add_special_tokens=False).ids)
-    before = plan["pre_tokenizer"] or {}
-    added = [a["content"] for a in plan["added_tokens"]]
+    before, special = tokenizer.pre_tokenizer, list(tokenizer.get_added_tokens_decoder().values())
+    added = [a.content for a in special]
     cuttable = (
-        before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
-        and not plan["normalizer"] and plan["model"]["type"] == "BPE"
-        and not any(" " in a or flags["lstrip"] or flags["rstrip"] for a, flags in zip(added, plan["added_tokens"]))
+        isinstance(before, ByteLevel) and before.use_regex and not before.add_prefix_space
+        and tokenizer.normalizer is None and isinstance(tokenizer.model, BPE)
+        and not any(" " in a.content or a.lstrip or a.rstrip for a in special)
     )
     if not cuttable:
         return whole
@@ -75,24 +83,45 @@ def encoder(path: str) -> Callable[[str], bytes]:
     # Byte-level vocabularies write printable bytes as themselves and the others, in order, from character 256 on.
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     spelled = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
-    words = _Remembered(lambda w: _bytes([t.id for t in model.tokenize(w.encode().decode("latin-1").translate(spelled))]))
+    blank = chr(spelled[32])
+
+    def word(text: str) -> bytes:
+        # Most words are a blank and plain letters, of which only the blank is written otherwise.
+        shown = text.replace(" ", blank) if text.isascii() and text.isprintable() else text.encode().decode("latin-1").translate(spelled)
+        return _bytes([t.id for t in model.tokenize(shown)])
 
     def part(text: str) -> bytes:
+        # Letters alone, behind one blank or none, are one word of the pattern.
+        if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+            return word(text)
         if any(a in text for a in added):
             return whole(text)
-        return b"".join([words[w] for w in pieces.findall(text)])
+        return b"".join([word(w) for w in pieces.findall(text)])
 
-    parts, inside, cut = _Remembered(part), regex.compile(r"\s "), regex.compile(r"(?<=\S)(?= )")
+    # A mark behind letters is a word by itself, and so is what comes before it.
+    known = _Remembered(lambda p: part(" " + p), {m: word(m) for m in _MARKS})
+    inside, cut = regex.compile(r"\s "), regex.compile(r"(?<=\S)(?= )")
 
     def encode(text: str) -> bytes:
         if inside.search(text):
-            return b"".join([parts[p] for p in cut.split(text)])
+            return b"".join([known[p[1:]] if p[0] == " " else part(p) for p in cut.split(text) if p])
         head, *rest = text.split(" ")
-        return (parts[head] if head else b"") + b"".join([parts[" " + p] for p in rest])
+        return (part(head) if head else b"") + b"".join([known[p] for p in rest])
 
     return encode
 
 
+def shared_encoder(path: str) -> Callable[[str], bytes]:
+    """The encoder of this worker process: tasks that follow each other in it share what it remembers.
+
+    Task functions travel by value and bring modules of their own, so it is kept under a name of the process.
+    """
+    kept = vars(sys.modules.setdefault("_packing_encoders", ModuleType("_packing_encoders")))
+    if path not in kept:
+        kept[path] = encoder(path)
+    return kept[path]
+
+
 def _number(level: int) -> int:
     """The first of the numbers that this task may give to what it makes at a level."""
     return (level << 57) | (TaskContext.get().partitionId() << 37)
@@ -109,7 +138,7 @@ def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = 0
     last = _bytes([end])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, item = encoder(path), _number(0)
+        encode, item = shared_encoder(path), _number(0)
         for batch in batches:
             row, item_, piece, start, length, crc, kept = [], [], [], [], [], [], []
             for i in range(batch.num_rows):
