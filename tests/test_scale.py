@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import json
+import operator
+import random
+from collections import Counter
 
 from oracle.registry import ENTRIES
+from tidemark.operators import policies
 
 
 def large_orders(spark, path, first=150_000 * 60):
@@ -22,3 +26,34 @@ def test_account_data_of_large_keys(spark, tmp_path):
         if key % 12:
             assert got[key + 1].health_factor == float(key * 10**14) / 1e18
     assert len(got) == 40 - len([i for i in range(40) if (150_000 * 60 + i) % 12 == 0])
+
+
+def test_policies_share_passes_but_not_clocks(spark, monkeypatch):
+    """Many policies in several blocks, names that repeat, null addresses: as a walk over each policy and address."""
+    monkeypatch.setattr(policies, "BLOCK", 40)
+    monkeypatch.setattr(policies, "PIECE", 7)
+    rng = random.Random(21)
+    rules = [(f"p{i % 110}", rng.choice("mn"), rng.choice(["<", "<=", ">", ">="]), rng.randint(0, 12) / 4, rng.choice([0, 0, 1, 5])) for i in range(120)]
+    configs = [(n, json.dumps({"metric": m, "operator": o, "threshold": t, "cooldown_minutes": c}), True) for n, m, o, t, c in rules]
+    seen = [(rng.choice("mno"), "base", rng.choice(["0x1", "0x2", "0x3", None]), 1_700_000_000_000 + 20_000 * rng.randint(0, 80), rng.choice([None, float("nan"), rng.randint(0, 12) / 4]), f"r{i}") for i in range(400)]
+    observed = spark.createDataFrame(seen, "metric string, chain string, address string, at bigint, value double, ref string")
+    got = Counter((r.policy, r.address, r.ref) for r in policies.policy_alerts(observed.repartition(7), spark.createDataFrame(configs, "name string, config string, enabled boolean")).collect())
+    compare = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+    want, last = Counter(), {}
+    for metric, _, address, at, value, ref in sorted(seen, key=lambda s: (s[3], s[5])):
+        for name, m, o, t, c in sorted(rules, key=lambda r: r[1:]):
+            if m == metric and value is not None and value == value and compare[o](value, t) and at - last.get((name, address), -(10**15)) >= c * 60_000:
+                last[name, address] = at
+                want[name, address, ref] += 1
+    assert got == want, (list((got - want).items())[:5], list((want - got).items())[:5], [r for r in rules if r[0] in {k[0] for k in (got - want)}][:6])
+    assert sum(want.values()) > 1_500
+
+
+def test_policy_crossings_are_not_shuffled(spark):
+    """Sixty times the policies on the same observations: the result grows, what is shuffled does not grow with it."""
+    seen = spark.range(2_000).selectExpr("'m' metric", "'base' chain", "concat('0x', id % 50) address", "id * 1000 at", "double(id % 100) value", "string(id) ref")
+    configs = spark.range(600).selectExpr("concat('p', id) name", """concat('{"metric":"m","operator":">","threshold":', id % 10, '}') config""", "true enabled")
+    alerts = policies.policy_alerts(seen, configs)
+    assert alerts.count() > 1_000_000
+    plan = alerts._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.index("MapInArrow") < plan.index("Exchange")
