@@ -57,3 +57,30 @@ def test_policy_crossings_are_not_shuffled(spark):
     assert alerts.count() > 1_000_000
     plan = alerts._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.index("MapInArrow") < plan.index("Exchange")
+
+
+def test_watch_matches_come_once_and_unshuffled(spark):
+    """Repeated events and rules, rules under several keys, bounds in many cells: as nested loops; the rest isn't compared."""
+    rng = random.Random(22)
+    kinds = {"level": "AB", "token": ["X", "Y", "*"], "sent": ["0x1", "0x2", "0x3"], "health": ["0x1", "0x2"], "alert": ["0x1", "0x2"]}
+    index = []
+    for i in range(150):
+        kind = rng.choice(list(kinds))
+        bound = rng.randint(0, 30) * 1.0 if kind in ("level", "token") else 0.0
+        for key in rng.sample(list(kinds[kind]), rng.choice([1, 1, 2])):
+            index.append((f"r{i % 140}", "u", kind, key, rng.choice([1, 1, 2]), bound, rng.choice([1.0, 1.5]) if kind == "health" else None))
+    events = []
+    for i in range(300):
+        kind = rng.choice(list(kinds))
+        keys = [rng.choice(["X", "Y", "Z"]), "*"] if kind == "token" else rng.sample(["0x1", "0x2", "0x3"], 2) if kind == "sent" else [rng.choice(list(kinds[kind]))]
+        events.append((f"e{i % 280}", kind, keys, rng.choice([1, 2]), float(rng.randint(0, 35)), rng.choice([0.9, 1.2, None])))
+    want = {(r[0], r[2], e[0]) for r in index for e in events if r[2] == e[1] and r[3] in e[2] and e[3] >= r[4] and e[4] >= r[5] and (r[2] != "health" or (e[5] is not None and e[5] < r[6]))}
+    frames = (
+        spark.createDataFrame(events, "event string, kind string, keys array<string>, rank bigint, usd double, value double"),
+        spark.createDataFrame(index, "rule string, user_id string, kind string, key string, least_rank bigint, least_usd double, below double"),
+    )
+    matches = policies.watch_matches(*frames)
+    got = sorted((r.rule, r.kind, r.event) for r in matches.collect())
+    assert got == sorted(want) and len(got) > 1_000
+    plan = matches._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert plan[0].startswith("Union") and plan[1].lstrip(":+- ").startswith("Project")
