@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 import operator
 import random
+import uuid
 from collections import Counter
 
 from oracle.registry import ENTRIES
-from tidemark.operators import policies
+from tidemark.operators import flows, policies
+from tidemark.streaming import flow, jobs, sinks
+from tidemark.streaming.jobs import JobOptions
 
 
 def large_orders(spark, path, first=150_000 * 60):
@@ -84,3 +87,22 @@ def test_watch_matches_come_once_and_unshuffled(spark):
     assert got == sorted(want) and len(got) > 1_000
     plan = matches._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert plan[0].startswith("Union") and plan[1].lstrip(":+- ").startswith("Project")
+
+
+def test_streamed_hours_count_addresses_exactly(spark, tmp_path):
+    """Far more addresses in an hour than a sketch of 4 KiB lists, some in both of two batches."""
+    transfers = spark.range(40_000).selectExpr(
+        "'base' chain", "'t' token_address", "if(id % 1000 = 7, null, concat('0x', id % 9001)) from_address", "concat('0x', id % 7003) to_address", "double(id % 10) amount",
+        "1700006400000 + id * 180 timestamp",
+    )
+    path, out, run = str(tmp_path / "in"), str(tmp_path / "flow"), JobOptions(run=uuid.uuid4().hex, available_now=True)
+    for part in ("timestamp % 3 = 0", "timestamp % 3 <> 0"):
+        transfers.where(part).write.mode("append").parquet(path)
+        jobs.start_token_flow(spark.readStream.schema(transfers.schema).parquet(path), out, run).awaitTermination()
+    got = sinks.read_upserts(spark, out, flows.FLOW_KEY, "updated_at").drop("updated_at")
+    want = flows.token_flow_hourly(transfers, "2024-01-30").drop("updated_at")
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
+    whole = flows.token_flow_of(flow.read_sides(spark, out), ["chain", "token_address"]).first()
+    assert (whole.transfer_count, whole.unique_senders_count, whole.unique_receivers_count) == (40_000, 9001, 7003)
