@@ -6,6 +6,7 @@ Streams read files that the query itself writes from a fixture view, in the orde
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,30 +24,31 @@ from tidemark.streaming.jobs import JobOptions
 MIDDLE_MS = 1_701_500_000_000
 
 
-def in_order(spark: SparkSession, *parts: DataFrame) -> str:
-    """A folder with one file for each part, the first part's file first."""
-    path = folder(spark)
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
-
+def in_turns(spark: SparkSession, parts: list[DataFrame], config: dict, ddl: str, start: Callable) -> str:
+    """The output folder of a job that drains one part after the other, each written by as many tasks as it has.
 
-def by_file(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    return stream_source(spark, StreamConfig(path=path, max_files_per_trigger=1), ddl)
+    A part arrives when the one before it has been drained, and the job goes on under the same run: parts are batches, in
+    this order, however many files they have.
+    """
+    path, out = folder(spark), folder(spark)
+    options = JobOptions(run=f"queries-{uuid.uuid4().hex}", available_now=True)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        start(stream_source(spark, StreamConfig(path=path, **config), ddl), out, options).awaitTermination()
+    return out
 
 
 # --- late transfers -------------------------------------------------------------
 
 
-def _newest_first(s: SparkSession, d: str) -> DataFrame:
+def _newest_first(s: SparkSession, d: str, start: Callable) -> str:
     rows = raw(s, d, "raw_transfers")
     newer = F.col("timestamp") >= MIDDLE_MS
-    return by_file(s, in_order(s, rows.where(newer), rows.where(~newer)), schemas.TRANSFERS)
+    return in_turns(s, [rows.where(newer), rows.where(~newer)], {}, schemas.TRANSFERS, start)
 
 
 def _late(s: SparkSession, d: str) -> DataFrame:
-    stream = _newest_first(s, d)
-    rows = sinks.read_batches(s, _drained(s, lambda o, options: jobs.start_late_transfers(stream, o, options)))
+    rows = sinks.read_batches(s, _newest_first(s, d, jobs.start_late_transfers))
     return rows.select("tx_hash", "log_index", "token_address", "timestamp", "window_end_ms", "late_by_ms")
 
 
@@ -60,8 +62,7 @@ register(
 
 
 def _punctual(s: SparkSession, d: str) -> DataFrame:
-    stream = _newest_first(s, d)
-    out = _drained(s, lambda o, options: jobs.start_token_flow(stream, o, options))
+    out = _newest_first(s, d, jobs.start_token_flow)
     return sinks.read_upserts(s, out, ["chain", "token_address", "hour"], "updated_at").select("chain", "token_address", "hour", "transfer_count", "unique_senders_count")
 
 
@@ -171,7 +172,9 @@ def _messages(s: SparkSession, d: str) -> DataFrame:
 
 
 def _stored_messages(s: SparkSession, d: str) -> DataFrame:
-    return read_messages(s, in_order(s, _messages(s, d))).select(*_ENVELOPE)
+    path = folder(s)
+    _messages(s, d).write.parquet(path)
+    return read_messages(s, path).select(*_ENVELOPE)
 
 
 register("stored_messages", _stored_messages, ENTRIES["message_envelope"].body)
@@ -181,11 +184,7 @@ def _restarted(s: SparkSession, d: str) -> DataFrame:
     """A stream that stops after half of the files and goes on, under the same run, when the rest has arrived."""
     rows = _messages(s, d)
     early = F.col("timestamp") < _IDLE_MS
-    path, options = in_order(s, rows.where(early)), JobOptions(run=f"queries-{uuid.uuid4().hex}", available_now=True)
-    out = folder(s)
-    jobs.start_prices(by_file(s, path, schemas.MESSAGES), out, options).awaitTermination()
-    rows.where(~early).coalesce(1).write.mode("append").parquet(path)
-    jobs.start_prices(by_file(s, path, schemas.MESSAGES), out, options).awaitTermination()
+    out = in_turns(s, [rows.where(early), rows.where(~early)], {}, schemas.MESSAGES, jobs.start_prices)
     return sinks.read_batches(s, out).select(*_ENVELOPE)
 
 
@@ -196,8 +195,7 @@ def _repeated(s: SparkSession, d: str) -> DataFrame:
     """Every tenth message is delivered again within the window, from another file."""
     rows = _messages(s, d)
     again = rows.where("offset % 10 = 0").withColumn("processing_time", F.col("processing_time") + 1)
-    stream = by_file(s, in_order(s, rows, again.withColumn("timestamp", F.col("timestamp"))), schemas.MESSAGES)
-    out = _drained(s, lambda o, options: jobs.start_landing(stream, "k bigint", f"{o}/rows", f"{o}/dead", "100 days", options))
+    out = in_turns(s, [rows, again], {}, schemas.MESSAGES, lambda stream, o, options: jobs.start_landing(stream, "k bigint", f"{o}/rows", f"{o}/dead", "100 days", options))
     return sinks.read_batches(s, f"{out}/rows")
 
 
@@ -205,13 +203,13 @@ register("stream_landing_repeats", _repeated, ENTRIES["stream_landing"].body)
 
 
 def _from_offsets(s: SparkSession, d: str) -> DataFrame:
-    """Two topics of a log that five share, two of their partitions from a given offset on, file after file."""
+    """Two topics of a log that five share, two of their partitions from a given offset on, part after part."""
     rows = _messages(s, d)
     early = F.col("timestamp") < _IDLE_MS
     starts = '{"topic.view": {"0": 2000, "1": -2}, "topic.error": {"3": 5000}}'
-    config = StreamConfig(path=in_order(s, rows.where(early), rows.where(~early)), topics=("topic.view", "topic.error"), starting_offsets=starts, max_files_per_trigger=1)
-    stream = stream_source(s, config)
-    return sinks.read_batches(s, _drained(s, lambda o, options: jobs.start_prices(stream, o, options))).select(*_ENVELOPE)
+    config = {"topics": ("topic.view", "topic.error"), "starting_offsets": starts}
+    out = in_turns(s, [rows.where(early), rows.where(~early)], config, schemas.MESSAGES, jobs.start_prices)
+    return sinks.read_batches(s, out).select(*_ENVELOPE)
 
 
 register(

@@ -8,6 +8,9 @@ import random
 import uuid
 from collections import Counter
 
+from pyspark.sql import functions as F
+
+from oracle import flowing
 from oracle.registry import ENTRIES
 from tidemark.operators import flows, policies
 from tidemark.streaming import flow, jobs, sinks
@@ -106,3 +109,14 @@ def test_streamed_hours_count_addresses_exactly(spark, tmp_path):
     assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
     whole = flows.token_flow_of(flow.read_sides(spark, out), ["chain", "token_address"]).first()
     assert (whole.transfer_count, whole.unique_senders_count, whole.unique_receivers_count) == (40_000, 9001, 7003)
+
+
+def test_parts_are_written_by_all_their_tasks(spark):
+    """Two parts of four partitions each: two batches, in order, and no part goes through one task."""
+    rows = spark.range(0, 400, 1, 4).selectExpr("'0xt' tx_hash", "int(id) log_index", "id timestamp")
+    parts = [rows.where("timestamp >= 200").repartition(4), rows.where("timestamp < 200").repartition(4)]
+    out = flowing.in_turns(spark, parts, {}, "tx_hash string, log_index int, timestamp bigint", jobs.start_prices)
+    batches = spark.read.parquet(out).groupBy("batch_id").agg({"timestamp": "min"}).orderBy("batch_id").collect()
+    assert [tuple(b) for b in batches] == [(0, 200), (1, 0)]
+    assert spark.read.parquet(out).count() == 400
+    assert spark.read.parquet(out).select(F.input_file_name()).distinct().count() > 2
