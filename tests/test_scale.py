@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from oracle import flowing
 from oracle.registry import ENTRIES
-from tidemark.operators import flows, policies
+from tidemark.operators import behaviour, flows, policies
 from tidemark.streaming import flow, jobs, sinks
 from tidemark.streaming.jobs import JobOptions
 
@@ -120,3 +120,21 @@ def test_parts_are_written_by_all_their_tasks(spark):
     assert [tuple(b) for b in batches] == [(0, 200), (1, 0)]
     assert spark.read.parquet(out).count() == 400
     assert spark.read.parquet(out).select(F.input_file_name()).distinct().count() > 2
+
+
+def test_behaviour_shuffles_few_sums_beside_its_rows(spark):
+    """Addresses with a moment every three hours: what lies before a row's bucket comes from a few rows, not one for each moment."""
+    rows = spark.range(6_000).selectExpr(
+        "'base' chain", "concat('0x', id % 40) address", "1700000000000 + id div 40 * 10800000 at", "cast(id % 7 as decimal(38,8)) usd", "'t' token", "'p' protocol"
+    )
+    store = spark.sparkContext._jsc.sc().statusStore()
+    gateway = spark.sparkContext._gateway
+
+    def written():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = written()
+    features = behaviour.behaviour_features(rows, "2024-01-30").collect()
+    assert len(features) == 6_000 and max(r.tx_count_7d for r in features) == 56
+    assert written() - before < 95_000

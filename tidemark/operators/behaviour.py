@@ -86,23 +86,23 @@ def _distinct_spells(rows: DataFrame, span_ms: int) -> DataFrame:
 def _largest(moments: DataFrame, span_ms: int) -> DataFrame:
     """(chain, address, at, largest): the largest amount within the span up to each moment.
 
-    The span is a whole number of hours. It covers part of its first hour, whole hours and part of the last one; a
-    moment therefore meets maxima of hours, and looks from its two edges into one hour each.
+    The span is a whole number of days. It covers part of its first day, whole days and part of the last one; a
+    moment therefore meets maxima of days, and looks from its two edges into one day each.
     """
-    hours = span_ms // HOUR_MS
-    of_hour = F.floor(F.col("at") / HOUR_MS)
+    days = span_ms // DAY_MS
+    of_day = F.floor(F.col("at") / DAY_MS)
     own = moments.select(*_OWNER, "at", "most", F.col("at").alias("of"))
     edge = moments.select(*_OWNER, (F.col("at") - span_ms).alias("at"), F.lit(None).cast(_MONEY).alias("most"), F.col("at").alias("of"))
-    edges = own.withColumn("edge", F.lit(False)).unionByName(edge.withColumn("edge", F.lit(True))).withColumn("hour", of_hour)
-    inside = Window.partitionBy(*_OWNER, "hour")
+    edges = own.withColumn("edge", F.lit(False)).unionByName(edge.withColumn("edge", F.lit(True))).withColumn("day", of_day)
+    inside = Window.partitionBy(*_OWNER, "day")
     upto = F.max("most").over(inside.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow))
     beyond = F.max("most").over(inside.orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, -1))
-    seen = edges.select(*_OWNER, "of", F.when(F.col("edge"), beyond).otherwise(upto).alias("part"), F.when(~F.col("edge"), F.col("hour")).alias("hour"))
-    parts = seen.groupBy(*_OWNER, "of").agg(F.max("part").alias("part"), F.max("hour").alias("hour"))
-    by_hour = moments.groupBy(*_OWNER, of_hour.alias("hour")).agg(F.max("most").alias("most"))
-    between = Window.partitionBy(*_OWNER).orderBy("hour").rangeBetween(1 - hours, -1)
-    whole = by_hour.select(*_OWNER, "hour", F.max("most").over(between).alias("whole"))
-    return parts.join(whole, [*_OWNER, "hour"]).select(*_OWNER, F.col("of").alias("at"), F.greatest("part", "whole").alias("largest"))
+    seen = edges.select(*_OWNER, "of", F.when(F.col("edge"), beyond).otherwise(upto).alias("part"), F.when(~F.col("edge"), F.col("day")).alias("day"))
+    parts = seen.groupBy(*_OWNER, "of").agg(F.max("part").alias("part"), F.max("day").alias("day"))
+    by_day = moments.groupBy(*_OWNER, of_day.alias("day")).agg(F.max("most").alias("most"))
+    between = Window.partitionBy(*_OWNER).orderBy("day").rangeBetween(1 - days, -1)
+    whole = by_day.select(*_OWNER, "day", F.max("most").over(between).alias("whole"))
+    return parts.join(whole, [*_OWNER, "day"]).select(*_OWNER, F.col("of").alias("at"), F.greatest("part", "whole").alias("largest"))
 
 
 def behaviour_features(rows: DataFrame, as_of: str | datetime, settings: Settings = DEFAULTS) -> DataFrame:
@@ -116,7 +116,7 @@ def behaviour_features(rows: DataFrame, as_of: str | datetime, settings: Setting
     moments = rows.groupBy(*_OWNER, "at").agg(F.count(F.lit(1)).alias("n"), F.sum(amount).cast(_MONEY).alias("usd"), F.max(amount).alias("most"))
     changes = _entries_and_exits(moments).unionByName(_distinct_spells(rows, WEEK_MS), allowMissingColumns=True)
     sums = [*(f"{c}_{span}" for span in SPANS for c in ("n", "usd")), "tokens", "protocols", "hours"]
-    told = running(changes, _OWNER, "at", sums).where("own")
+    told = running(changes, _OWNER, "at", sums, WEEK_MS).where("own")
     told = told.join(_largest(moments, WEEK_MS), [*_OWNER, "at"])
     active = F.filter(F.sequence(F.lit(0), F.lit(23)), lambda h: F.getbit("hours", h) == 1)
     bot = (F.col("n_24h") >= settings.bot_day_count) | (F.bit_count("hours") >= settings.bot_hours)
