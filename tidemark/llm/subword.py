@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import lower_ascii, mixed, remainder, sampled_labels, texts, word_hashes, words
+from tidemark.llm.common import averaged, counted, labelled, lower_ascii, mixed, remainder, texts, word_hashes, words
 
-#: Bound of the labelled sample that the driver holds, for each class.
-TRAIN_ROWS = 1_500
+#: Most labelled texts whose features a task holds at once.
+HELD_ROWS = 4_096
 BUCKETS = 1 << 17
 DIMENSION = 8
 EPOCHS = 6
@@ -84,55 +84,32 @@ def features(data: np.ndarray, offsets: np.ndarray, settings: Settings) -> Itera
         yield index, valid, np.minimum(offsets, size)
 
 
-def _examples(docs: DataFrame, labels: DataFrame, settings: Settings) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(label, buckets, weights) of the sampled documents."""
-
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            label = b.column("label").to_numpy()
-            for first, last, data, offsets in texts(b.column("text")):
-                parts = [(i[v], at, np.concatenate([[0], np.cumsum(v)])) for i, v, at in features(data, offsets, settings)]
-                out = [np.unique(np.concatenate([i[c[at[d]] : c[at[d + 1]]] for i, at, c in parts]), return_counts=True) for d in range(last - first)]
-                yield pa.RecordBatch.from_pydict({"label": label[first:last], "f": pa.array([f.astype(np.int32) for f, _ in out], pa.list_(pa.int32())), "n": pa.array([n.astype(np.int32) for _, n in out], pa.list_(pa.int32()))})
-
-    picked = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("label", "text")
-    got = picked.mapInArrow(extract, "label int, f array<int>, n array<int>").toArrow()
-    rows = []
-    for c in got.to_batches():
-        f, n = c.column("f"), c.column("n")
-        rows += [(k, f[i].values.to_numpy(), n[i].values.to_numpy() / max(1, n[i].values.to_numpy().sum())) for i, k in enumerate(c.column("label").to_pylist())]
-    # The order of arrival differs from run to run.
-    return sorted(rows, key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+def _examples(batch: pa.RecordBatch, settings: Settings) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(label, buckets, counts) of each text."""
+    label = batch.column("label").to_numpy()
+    for first, last, data, offsets in texts(batch.column("text")):
+        parts = [(i[v], at, np.concatenate([[0], np.cumsum(v)])) for i, v, at in features(data, offsets, settings)]
+        for d in range(last - first):
+            f, n = np.unique(np.concatenate([i[c[at[d]] : c[at[d + 1]]] for i, at, c in parts]), return_counts=True)
+            yield int(label[first + d]), f.astype(np.int32), n.astype(np.int32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Settings = Settings(), seed: int = 3) -> Model:
-    """Train on TRAIN_ROWS labelled documents of each class at most, weighted to the shares of the classes."""
-    chosen, weight = sampled_labels(labels, label, TRAIN_ROWS)
-    rows = _examples(docs, chosen, settings)
-    classes = tuple(sorted({k for k, *_ in rows})) or (0, 1)
-    if len(classes) == 1:
-        classes = tuple(sorted({*classes, 1 - classes[0]}))
+def _trained(rows: list[tuple[int, np.ndarray, np.ndarray]], share: np.ndarray, seed: int) -> np.ndarray:
+    """Stochastic gradients over `rows` (place of the class, buckets, shares of them): the logits of each class, then the bias."""
     rng = np.random.default_rng(seed)
-    share = np.array([sum(weight[k] for k, *_ in rows if k == c) + 1.0 for c in classes])
     vectors = np.zeros((BUCKETS, DIMENSION), np.float32)
-    output = rng.normal(0, 1, (DIMENSION, len(classes))).astype(np.float32)
+    output = rng.normal(0, 1, (DIMENSION, len(share))).astype(np.float32)
     bias = np.log(share / share.sum())
-    document_frequency = np.zeros(BUCKETS, np.int32)
-    for _, f, _ in rows:
-        document_frequency[f] += 1
-    rows = [(classes.index(k), f[document_frequency[f] > 1], n[document_frequency[f] > 1], weight[k]) for k, f, n in rows]
-    mean = sum(w for *_, w in rows) / max(1, len(rows))
-    seen_v, seen_o, seen_b = np.full(BUCKETS, 1e-8), np.full(output.shape, 1e-2), np.full(len(classes), 1.0)
+    seen_v, seen_o, seen_b = np.full(BUCKETS, 1e-8), np.full(output.shape, 1e-2), np.full(len(share), 1.0)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         for i in rng.permutation(len(rows)):
-            k, f, n, w = rows[i]
+            k, f, n = rows[i]
             hidden = n @ vectors[f]
             z = hidden @ output + bias
             p = np.exp(z - z.max())
             p /= p.sum()
             p[k] -= 1
-            p *= w / mean
             back = output @ p
             grad_o = np.outer(hidden, p)
             seen_o += grad_o**2
@@ -141,7 +118,43 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Settings = Set
             output -= (rate * grad_o / np.sqrt(seen_o)).astype(np.float32)
             bias -= 0.1 * rate * p / np.sqrt(seen_b)
             vectors[f] -= (rate * n / np.sqrt(seen_v[f]))[:, None].astype(np.float32) * back.astype(np.float32)
-    logits = (vectors @ output).T
+    return np.concatenate([(vectors @ output).T.ravel(), bias])
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Settings = Settings(), seed: int = 3) -> Model:
+    """Learn from all labelled documents: buckets and classes are counted over all of them, and the model is the mean of
+    the folded networks that tasks learn from their shares of the rows, at most HELD_ROWS to a network."""
+    rows = labelled(docs.select("doc_id", "text"), labels, label).select("label", "text")
+    shares = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    classes = tuple(sorted(shares)) or (0, 1)
+    if len(classes) == 1:
+        classes = tuple(sorted({*classes, 1 - classes[0]}))
+    share = np.array([shares.get(c, 0) + 1.0 for c in classes])
+
+    def count(batch: pa.RecordBatch) -> list[tuple[int, np.ndarray]]:
+        n = np.zeros(BUCKETS, np.int64)
+        for _, f, _ in _examples(batch, settings):
+            n[f] += 1
+        return [(0, n)]
+
+    known = np.zeros(BUCKETS, bool)
+    known[np.flatnonzero(counted(rows, count).get(0, np.zeros(0)) > 1)] = True
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> tuple[int, np.ndarray] | None:
+        held, done, total = [], 0, 0.0
+        for b in batches:
+            for k, f, n in _examples(b, settings):
+                keep = known[f]
+                held.append((classes.index(k), f[keep], n[keep] / max(1, n.sum())))
+                if len(held) == HELD_ROWS:
+                    total, done, held = total + HELD_ROWS * _trained(held, share, seed), done + HELD_ROWS, []
+        if held:
+            total, done = total + len(held) * _trained(held, share, seed), done + len(held)
+        return (done, total / done) if done else None
+
+    flat = averaged(rows, learn)
+    flat = np.concatenate([np.zeros(BUCKETS * len(classes)), np.log(share / share.sum())]) if flat is None else flat.astype(np.float64)
+    logits, bias = flat[: -len(classes)].reshape(len(classes), BUCKETS), flat[-len(classes) :]
     return Model(classes, np.ascontiguousarray(logits - logits[:1]), bias - bias[0], settings)
 
 
