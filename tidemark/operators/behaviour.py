@@ -141,34 +141,41 @@ def behaviour_features(rows: DataFrame, as_of: str | datetime, settings: Setting
 def address_flow_hourly(transfers: DataFrame, as_of: str | datetime) -> DataFrame:
     """Flow of each address by hour, with its top tokens and counterparty by value; ties go to the smaller address.
 
-    Amounts are summed by (address, hour, token, counterparty) before anything else, so a busy address is combined where
-    its transfers are read. A transfer to oneself flows both ways. The zero address has no row but is a counterparty.
+    Legs are shuffled once, dealt by hour and address: a busy address is spread over its hours. There, each leg is a row
+    of its token and one of its counterparty; these are sorted once, summed by value and then by address and hour, both in
+    that order, so that no task holds more than its sort does. A transfer to oneself flows both ways. The zero address has
+    no row but is a counterparty.
     """
-    own = ["chain", "hour", "address"]
+    own = F.struct("chain", "hour", "address").alias("own")
+    # The hash leads: rows are told apart by a number first.
+    group = ["_hash", "own"]
     side = lambda a, b, out: F.struct(F.col(a).alias("address"), F.col(b).alias("other"), F.lit(out).alias("out"))
     legs = transfers.select(
         "chain", hour_of_millis(F.unix_millis("event_timestamp")).alias("hour"), F.col("token_address").alias("token"), F.col("amount_usd").cast(_MONEY).alias("usd"),
         F.explode(F.array(side("to_address", "from_address", False), side("from_address", "to_address", True))).alias("s"),
     )
     legs = legs.select("chain", "hour", "token", "usd", "s.*").where(~is_zero_address(F.col("address")))
-    pairs = legs.groupBy(*own, "out", "token", "other").agg(F.count(F.lit(1)).alias("n"), F.sum("usd").cast(_MONEY).alias("usd"))
-    tokens = pairs.groupBy(*own, "out", "token").agg(F.sum("n").alias("n"), F.sum("usd").cast(_MONEY).alias("usd"))
-    others = pairs.groupBy(*own, "other").agg(F.sum("usd").cast(_MONEY).alias("usd"))
-    rows = tokens.unionByName(others, allowMissingColumns=True)
-    top = lambda name, when: F.min_by(name, F.when(when, F.struct(-F.col("usd"), F.col(name))))
+    dealt = legs.select(own, "out", "token", "other", "usd").withColumn("_hash", F.xxhash64("own")).repartition("_hash")
+    met = lambda out, value: F.struct(out.alias("out"), F.col(value).alias("value"))
+    kinds = F.array(met(F.col("out"), "token"), met(F.lit(None).cast("boolean"), "other"))
+    rows = dealt.select(*group, "usd", F.explode(kinds).alias("k")).select(*group, "usd", "k.*")
+    # The largest text of a group keeps its sums in sorted order, as texts have no place in a hash aggregate.
+    rows = rows.groupBy(*group, "out", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("usd").cast(_MONEY).alias("usd"), F.max("value").alias("name"))
+    top = lambda when: F.min_by("name", F.when(when, F.struct(-F.col("usd"), F.col("name"))))
     total = lambda name, when: F.coalesce(F.sum(F.when(when, F.col(name))), F.lit(0))
-    in_, out = ~F.col("out"), F.col("out")
-    return rows.groupBy(*own).agg(
+    in_, out, other = ~F.col("out"), F.col("out"), F.col("out").isNull()
+    flow = rows.groupBy(*group).agg(
         total("n", in_).alias("inflow_count"),
         total("usd", in_).cast("double").alias("inflow_usd"),
         total("n", out).alias("outflow_count"),
         total("usd", out).cast("double").alias("outflow_usd"),
         (total("usd", in_) - total("usd", out)).cast("double").alias("net_flow_usd"),
-        F.count("other").alias("unique_counterparties"),
-        top("token", in_).alias("top_inflow_token"),
-        top("token", out).alias("top_outflow_token"),
-        top("other", F.col("other").isNotNull()).alias("top_counterparty"),
-    ).withColumn("updated_at", moment(as_of))
+        F.count(F.when(other, F.col("name"))).alias("unique_counterparties"),
+        top(in_).alias("top_inflow_token"),
+        top(out).alias("top_outflow_token"),
+        top(other & F.col("name").isNotNull()).alias("top_counterparty"),
+    )
+    return flow.select("own.*", *flow.columns[len(group) :], moment(as_of).alias("updated_at"))
 
 
 def time_in_risk(positions: DataFrame, as_of: str | datetime, period_ms: int = DAY_MS, settings: Settings = DEFAULTS, bucket_ms: int = DAY_MS) -> DataFrame:
