@@ -94,25 +94,27 @@ def fit_rates(weighted: DataFrame, weights: list[float]) -> Rates:
     return best
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, text: bool = True) -> DataFrame:
     """`docs` with `posteriors` (in the order of DOMAINS), `tokens`, `rate` and `copies`.
 
     The rate is how often a document should be read so that the expected tokens of each domain are its target's share of
     all tokens, as nearly as rates of 0 and more can have it; copies is the rate rounded up or down by a hash of the id,
     so that its mean is the rate. Null and empty texts have no token, hence no influence. Labels of unknown documents
     and null labels teach nothing; without labels all documents are alike and keep rate 1. Repeated rows are alike.
-    Columns of `docs` with these four names are replaced.
+    Columns of `docs` with these four names are replaced. Texts are judged once for the fit and again beside the result,
+    so that they need not be stored; without `text` that column is left out, and what is stored for the fit is the result.
     """
     model = subword.fit(docs, labelled_domains(labels), "domain", FEATURES)
     own = [c for c in docs.columns if c not in ("posteriors", "tokens", "rate", "copies")]
-    scored = with_domains(docs.select("text"), model, len(DOMAINS)).select("tokens", "posteriors")
-    rates = fit_rates(stored(scored, "domains"), [targets[d] for d in DOMAINS])
-    out = with_domains(docs.select(*own), model, len(DOMAINS)).withColumn("rate", rates.column())
+    scored = with_domains(docs.select("text") if text else docs.select(*own), model, len(DOMAINS)).drop("text")
+    scored = stored(scored, "domains")
+    rates = fit_rates(scored, [targets[d] for d in DOMAINS])
+    out = (with_domains(docs.select(*own), model, len(DOMAINS)) if text else scored).withColumn("rate", rates.column())
     uniform = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(31)), F.lit(1 << 30)) / float(1 << 30)
     return out.withColumn("copies", (F.floor("rate") + (uniform < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
 
 
 def report(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
     """doc_id, tokens, a probability for each domain, rate and copies."""
-    out = mixed(docs.select("doc_id", "text"), labels, targets)
+    out = mixed(docs.select("doc_id", "text"), labels, targets, text=False)
     return out.select("doc_id", "tokens", *[F.element_at("posteriors", i + 1).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", "copies")

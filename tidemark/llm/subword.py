@@ -91,7 +91,7 @@ def _examples(batch: pa.RecordBatch, settings: Settings) -> Iterator[tuple[int,
         parts = [(i[v], at, np.concatenate([[0], np.cumsum(v)])) for i, v, at in features(data, offsets, settings)]
         for d in range(last - first):
             f, n = np.unique(np.concatenate([i[c[at[d]] : c[at[d + 1]]] for i, at, c in parts]), return_counts=True)
-            yield int(label[first + d]), f.astype(np.int32), n.astype(np.int32)
+            yield int(label[first + d]), f.astype(np.intp), n.astype(np.int32)
 
 
 def _trained(rows: list[tuple[int, np.ndarray, np.ndarray]], share: np.ndarray, seed: int) -> np.ndarray:
@@ -105,7 +105,8 @@ def _trained(rows: list[tuple[int, np.ndarray, np.ndarray]], share: np.ndarray,
         rate = RATE * (1 - epoch / EPOCHS)
         for i in rng.permutation(len(rows)):
             k, f, n = rows[i]
-            hidden = n @ vectors[f]
+            met = vectors.take(f, axis=0)
+            hidden = n @ met
             z = hidden @ output + bias
             p = np.exp(z - z.max())
             p /= p.sum()
@@ -114,10 +115,11 @@ def _trained(rows: list[tuple[int, np.ndarray, np.ndarray]], share: np.ndarray,
             grad_o = np.outer(hidden, p)
             seen_o += grad_o**2
             seen_b += p**2
-            seen_v[f] += n**2 * (back @ back) / DIMENSION
+            seen = seen_v.take(f) + n**2 * (back @ back) / DIMENSION
+            seen_v[f] = seen
             output -= (rate * grad_o / np.sqrt(seen_o)).astype(np.float32)
             bias -= 0.1 * rate * p / np.sqrt(seen_b)
-            vectors[f] -= (rate * n / np.sqrt(seen_v[f]))[:, None].astype(np.float32) * back.astype(np.float32)
+            vectors[f] = met - (rate * n / np.sqrt(seen))[:, None].astype(np.float32) * back.astype(np.float32)
     return np.concatenate([(vectors @ output).T.ravel(), bias])
 
 
