@@ -1,6 +1,6 @@
 """Aggregates that are shuffled once, by their plans; what they return is compared elsewhere."""
 
-from tidemark.operators import behaviour
+from tidemark.operators import behaviour, whales
 
 
 def exchanges(df) -> int:
@@ -19,3 +19,26 @@ def test_hourly_flow_of_addresses_is_shuffled_once_and_sorted_once(spark):
     tops = {(r.address, r.hour): r for r in flow.collect()}
     assert len(tops) == len({(r.address, r.hour) for r in flow.select("address", "hour").collect()})
     assert sum(r.outflow_count for r in tops.values()) == 400 == sum(r.inflow_count for r in tops.values())
+
+
+def test_large_transfers_go_to_their_senders_once(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+    spark.conf.set(names[0], "-1")
+    spark.conf.set(names[1], "false")
+    try:
+        staged = spark.range(300).selectExpr(
+            "concat('m', id) transfer_id", "timestamp_seconds(id) event_timestamp", "date '2024-01-01' event_date", "'t' token_address", "'T' token_symbol",
+            "if(id % 10 = 0, null, concat('a', id % 10)) from_address", "if(id % 7 = 0, null, concat('a', id % 7)) to_address", "1D amount", "1e9 amount_usd",
+            "concat('h', id) tx_hash", "id block_number",
+        )
+        listed = spark.createDataFrame([("a1",), ("a2",), ("",), (None,)], "address string")
+        moved = whales.whale_movements(staged, listed, "2024-01-30")
+        plan = moved._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert any("ReusedExchange" in line and "transfer_id" in line for line in plan)
+        want = {f"m{i}": "whale_out" if i % 10 in (1, 2) else "whale_in" for i in range(300) if i % 10 in (1, 2) or i % 7 in (1, 2)}
+        got = moved.collect()
+        assert len(got) == len(want) and {r.movement_id: r.whale_direction for r in got} == want
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
