@@ -1,6 +1,6 @@
 """Aggregates that are shuffled once, by their plans; what they return is compared elsewhere."""
 
-from tidemark.operators import behaviour, whales
+from tidemark.operators import behaviour, timeline, whales
 
 
 def exchanges(df) -> int:
@@ -42,3 +42,20 @@ def test_large_transfers_go_to_their_senders_once(spark):
     finally:
         for n, v in before.items():
             spark.conf.set(n, v)
+
+
+def test_look_back_reads_rows_and_summary_from_one_shuffle(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(500).selectExpr("if(id % 50 = 0, null, id % 9) k", "if(id = 7, null, id * 40000000 % 900000000) at", "id n", "if(id % 4 = 0, null, 60000000) gap")
+        kept = timeline.keep_spaced(rows, ["k"], "at", "gap", ["n"])
+        assert "ReusedExchange" in kept._jdf.queryExecution().executedPlan().toString()
+        last, want = {}, set()
+        for r in sorted((r for r in rows.collect() if r["at"] is not None), key=lambda r: (r["at"], r["n"])):
+            if r["k"] not in last or r["at"] - last[r["k"]] >= (r["gap"] or 0):
+                last[r["k"]] = r["at"]
+                want.add((r["k"], r["at"], r["n"]))
+        assert sorted(map(tuple, kept.drop("gap").collect()), key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
