@@ -1,25 +1,28 @@
 """What an address does: sliding-window features at each moment of activity, its hourly flow, and its time at risk.
 
-Windows slide exactly, to the millisecond, and no task holds an address's history: counts, volumes and distinct values
-are running sums over entries and exits (`timeline.running`), maxima meet from the hours they touch.
+Windows slide exactly, to the millisecond, and no task holds an address's history: rows are shuffled once, by address and
+four weeks, and one pass over them in order (`sliding.slide`) keeps a week.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import DAY_MS, DEFAULTS, HOUR_MS, Settings
 from tidemark.functions.addresses import is_zero_address
 from tidemark.functions.risk import risk_level
 from tidemark.functions.values import from_millis, hour_of_millis, moment, moment_ms
-from tidemark.operators.timeline import running, with_history
+from tidemark.operators.sliding import slide
+from tidemark.operators.timeline import with_history
 
 _MONEY = "decimal(38,8)"
 WEEK_MS = 7 * DAY_MS
 SPANS = {"1h": HOUR_MS, "24h": DAY_MS, "7d": WEEK_MS}
+#: Stretches of time that an address is dealt by; rows of a stretch's last week lead in to the next one, too.
+PART_MS = 4 * WEEK_MS
 _OWNER = ["chain", "address"]
 
 
@@ -41,83 +44,27 @@ def activity(transfers: DataFrame, events: DataFrame) -> DataFrame:
     return rows.where(F.col("at").isNotNull() & (F.col("address") != "") & ~is_zero_address(F.col("address")))
 
 
-def _entries_and_exits(moments: DataFrame) -> DataFrame:
-    """Each moment adds to all spans when it comes and leaves each span when it is that old."""
-
-    def change(at: Column, sign: int, spans: list[str], own: bool) -> Column:
-        amounts = []
-        for span in SPANS:
-            n = F.col("n") * sign if span in spans else F.lit(0).cast("long")
-            usd = F.col("usd") * sign if span in spans else F.lit(0)
-            amounts += [n.alias(f"n_{span}"), usd.cast(_MONEY).alias(f"usd_{span}")]
-        return F.struct(at.alias("at"), *amounts, F.lit(own).alias("own"))
-
-    changes = [change(F.col("at"), 1, list(SPANS), True)]
-    changes += [change(F.col("at") + ms, -1, [span], False) for span, ms in SPANS.items()]
-    return moments.select(*_OWNER, F.explode(F.array(*changes)).alias("c")).select(*_OWNER, "c.*")
-
-
-def _distinct_spells(rows: DataFrame, span_ms: int) -> DataFrame:
-    """(chain, address, at, tokens, protocols, hours): changes of how many tokens and protocols were met within the span, and of the hours' bits.
-
-    A value counts from its first use until the span after its last one. Within a day no use ends a spell, so spells are
-    read off first and last uses of each day.
-    """
-    def value(kind: str, v: Column, weight: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("value"), weight.cast("long").alias("weight"))
-
-    hour = F.hour(from_millis(F.col("at")))
-    values = F.array(
-        value("tokens", F.col("token"), F.lit(1)), value("protocols", F.col("protocol"), F.lit(1)), value("hours", hour, F.expr("shiftleft(1L, hour(timestamp_millis(at)))"))
-    )
-    used = rows.select(*_OWNER, "at", F.explode(values).alias("v")).where("v.value is not null").select(*_OWNER, "v.kind", "v.value", "v.weight", "at")
-    days = used.groupBy(*_OWNER, "kind", "value", "weight", F.floor(F.col("at") / DAY_MS).alias("day")).agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    order = Window.partitionBy(*_OWNER, "kind", "value").orderBy("day")
-    days = days.withColumns({"before": F.lag("last").over(order), "after": F.lead("first").over(order)})
-    begins = F.col("before").isNull() | (F.col("first") - F.col("before") > span_ms)
-    ends = F.col("after").isNull() | (F.col("after") - F.col("last") > span_ms)
-    change = lambda at, weight: F.struct(at.alias("at"), weight.alias("w"))
-    both = F.array(F.when(begins, change(F.col("first"), F.col("weight"))), F.when(ends, change(F.col("last") + span_ms, -F.col("weight"))))
-    spells = days.select(*_OWNER, "kind", F.explode(both).alias("c")).where("c is not null")
-    kinds = [F.when(F.col("kind") == k, F.col("c.w")).otherwise(0).cast("long").alias(k) for k in ("tokens", "protocols", "hours")]
-    return spells.select(*_OWNER, "c.at", *kinds)
-
-
-def _largest(moments: DataFrame, span_ms: int) -> DataFrame:
-    """(chain, address, at, largest): the largest amount within the span up to each moment.
-
-    The span is a whole number of days. It covers part of its first day, whole days and part of the last one; a
-    moment therefore meets maxima of days, and looks from its two edges into one day each.
-    """
-    days = span_ms // DAY_MS
-    of_day = F.floor(F.col("at") / DAY_MS)
-    own = moments.select(*_OWNER, "at", "most", F.col("at").alias("of"))
-    edge = moments.select(*_OWNER, (F.col("at") - span_ms).alias("at"), F.lit(None).cast(_MONEY).alias("most"), F.col("at").alias("of"))
-    edges = own.withColumn("edge", F.lit(False)).unionByName(edge.withColumn("edge", F.lit(True))).withColumn("day", of_day)
-    inside = Window.partitionBy(*_OWNER, "day")
-    upto = F.max("most").over(inside.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    beyond = F.max("most").over(inside.orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, -1))
-    seen = edges.select(*_OWNER, "of", F.when(F.col("edge"), beyond).otherwise(upto).alias("part"), F.when(~F.col("edge"), F.col("day")).alias("day"))
-    parts = seen.groupBy(*_OWNER, "of").agg(F.max("part").alias("part"), F.max("day").alias("day"))
-    by_day = moments.groupBy(*_OWNER, of_day.alias("day")).agg(F.max("most").alias("most"))
-    between = Window.partitionBy(*_OWNER).orderBy("day").rangeBetween(1 - days, -1)
-    whole = by_day.select(*_OWNER, "day", F.max("most").over(between).alias("whole"))
-    return parts.join(whole, [*_OWNER, "day"]).select(*_OWNER, F.col("of").alias("at"), F.greatest("part", "whole").alias("largest"))
-
-
 def behaviour_features(rows: DataFrame, as_of: str | datetime, settings: Settings = DEFAULTS) -> DataFrame:
     """Features of every address at every moment at which it did something, over the hour, day and week up to it.
 
     A span holds the times in (moment - span, moment]. `activity_hours` lists the hours of the day (UTC) with activity
     in the week. Likely bot: more than `bot_day_count` transactions in a day, or activity in `bot_hours` hours of the day;
     likely whale: a week's volume or a single amount of `whale_transfer_usd`. Null amounts count as 0.
+
+    Rows are shuffled once; sums, distinct values and maxima come from one pass over the sorted rows, without a shuffle
+    or a join of what they are made of.
     """
-    amount = F.coalesce("usd", F.lit(0).cast(_MONEY))
-    moments = rows.groupBy(*_OWNER, "at").agg(F.count(F.lit(1)).alias("n"), F.sum(amount).cast(_MONEY).alias("usd"), F.max(amount).alias("most"))
-    changes = _entries_and_exits(moments).unionByName(_distinct_spells(rows, WEEK_MS), allowMissingColumns=True)
-    sums = [*(f"{c}_{span}" for span in SPANS for c in ("n", "usd")), "tokens", "protocols", "hours"]
-    told = running(changes, _OWNER, "at", sums, WEEK_MS).where("own")
-    told = told.join(_largest(moments, WEEK_MS), [*_OWNER, "at"])
+    amount = F.coalesce("usd", F.lit(0).cast(_MONEY)).alias("usd")
+    own = F.floor(F.col("at") / PART_MS)
+    parts = F.when(F.col("at") > (own + 1) * PART_MS - WEEK_MS, F.array(own, own + 1)).otherwise(F.array(own))
+    copied = rows.select(*_OWNER, F.explode(parts).alias("part"), "at", amount, "token", "protocol")
+    dealt = copied.repartition(*_OWNER, "part").withColumns({"own": F.floor(F.col("at") / PART_MS) == F.col("part"), "_hash": F.xxhash64(*_OWNER, "part")})
+    # The hash leads: rows are told apart by a number first.
+    ordered = dealt.sortWithinPartitions("_hash", *_OWNER, "part", "at").drop("_hash")
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    sums = ", ".join(f"n_{span} bigint, usd_{span} {_MONEY}" for span in SPANS)
+    schema = f"chain {types['chain']}, address {types['address']}, at bigint, {sums}, tokens bigint, protocols bigint, hours bigint, largest {_MONEY}"
+    told = ordered.mapInArrow(lambda batches: slide(batches, _OWNER, SPANS), schema)
     active = F.filter(F.sequence(F.lit(0), F.lit(23)), lambda h: F.getbit("hours", h) == 1)
     bot = (F.col("n_24h") >= settings.bot_day_count) | (F.bit_count("hours") >= settings.bot_hours)
     whale = (F.col("usd_7d") >= settings.whale_transfer_usd) | (F.col("largest") >= settings.whale_transfer_usd)
