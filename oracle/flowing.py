@@ -77,12 +77,11 @@ register(
 
 
 def _daily(s: SparkSession, d: str) -> DataFrame:
-    """Daily flow from the streamed hours' addresses; the distinct counts are compared with those of the raw transfers."""
+    """Daily flow from the transfers of the streamed hours; the distinct counts are compared with those of the raw transfers."""
     stream = raw(s, d, "raw_transfers", stream="lineitem")
     out = _drained(s, lambda o, options: jobs.start_token_flow(stream, o, options))
-    sides = flow.read_sides(s, out).withColumn("day", F.to_date("hour"))
-    daily = flows.token_flow_of(sides, ["chain", "token_address", "day"])
     day = F.to_date(F.timestamp_millis("timestamp")).alias("day")
+    daily = flow.read_transfers(s, out).groupBy("chain", "token_address", day).agg(*flows.flow_measures())
     exact = raw(s, d, "raw_transfers").groupBy("chain", "token_address", day).agg(F.count_distinct("from_address").alias("senders"), F.count_distinct("to_address").alias("receivers"))
     near = lambda a, b: F.col(a) == F.col(b)
     return daily.join(exact, ["chain", "token_address", "day"]).select(
