@@ -41,8 +41,8 @@ def in_turns(spark: SparkSession, parts: list[DataFrame], config: dict, ddl: str
 # --- late transfers -------------------------------------------------------------
 
 
-def _newest_first(s: SparkSession, d: str, start: Callable) -> str:
-    rows = raw(s, d, "raw_transfers")
+def _newest_first(s: SparkSession, d: str, start: Callable, columns: list[str] | None = None) -> str:
+    rows = raw(s, d, "raw_transfers").select(*columns) if columns else raw(s, d, "raw_transfers")
     newer = F.col("timestamp") >= MIDDLE_MS
     return in_turns(s, [rows.where(newer), rows.where(~newer)], {}, schemas.TRANSFERS, start)
 
@@ -62,7 +62,7 @@ register(
 
 
 def _punctual(s: SparkSession, d: str) -> DataFrame:
-    out = _newest_first(s, d, jobs.start_token_flow)
+    out = _newest_first(s, d, jobs.start_token_flow, flow.FLOW_INPUT)
     return sinks.read_upserts(s, out, ["chain", "token_address", "hour"], "updated_at").select("chain", "token_address", "hour", "transfer_count", "unique_senders_count")
 
 

@@ -5,6 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from oracle import flowing
 from tidemark.config import HOUR_MS
 from tidemark.operators import flows
 from tidemark.streaming import flow, jobs, sinks
@@ -54,3 +55,11 @@ def test_a_batch_makes_only_its_own_hours(spark, tmp_path):
         writer(part, batch_id)
     written = {r.batch_id: r.n for r in spark.read.parquet(out).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert written == {0: 3, 1: 2}
+
+
+def test_turns_write_only_what_the_flow_reads(spark, small, monkeypatch):
+    """The stream of punctual transfers takes the columns of the flow, not hashes and texts of each transfer."""
+    seen = []
+    monkeypatch.setattr(flowing, "in_turns", lambda s, parts, *rest: seen.extend(p.columns for p in parts) or "")
+    flowing._newest_first(spark, small, jobs.start_token_flow, flow.FLOW_INPUT)
+    assert seen == [flow.FLOW_INPUT] * 2
